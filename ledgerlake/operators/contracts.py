@@ -297,47 +297,40 @@ def _is_unique(df: DataFrame, key: str) -> Column:
     return worst.scalar() <= 1
 
 
-def _judged_returns(batch: SourceTables, *values: str) -> DataFrame:
-    returns = batch.returns
-    return returns.where(_complete_row(returns)).select("line_id", SOURCE_ROW, *values)
-
-
-def _line_finding(check: str, value: str) -> Column:
+def _line_rule(check: str, value: str, ok: Column) -> tuple[Column, Column]:
     case = F.concat_ws(", ", _shown(value), _shown("line_id", quote=True))
-    return _finding(check, f"{value},line_id", case)
-
+    return ~F.coalesce(ok, F.lit(False)), _finding(check, f"{value},line_id", case)
 
-def return_quantity_findings(batch: SourceTables) -> DataFrame:
-    """Returned more than ordered. A line that cannot be found has no ordered quantity and fails."""
-    check, value = "returned_quantity_lte_ordered", "returned_quantity"
-    lines = batch.order_items.select("line_id", F.col("quantity").alias("_ordered"))
-    judged = _judged_returns(batch, value).where(_is_unique(batch.order_items, "line_id"))
-    return (
-        judged.join(lines, "line_id", "left")
-        .where(~F.coalesce(F.col(value) <= F.col("_ordered"), F.lit(False)))
-        .select(
-            F.col(SOURCE_ROW).alias("source_row"),
-            F.inline(F.array(_line_finding(check, value))),
-        )
-    )
 
+def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = True) -> DataFrame:
+    """Returns against the ordered line and against the day of its order, in one lookup.
 
-def return_date_findings(batch: SourceTables) -> DataFrame:
-    """Returned before the order day; line and order are looked up in the same batch."""
-    check, value = "return_date_on_or_after_order", "return_date"
-    judged = _judged_returns(batch, value).where(
-        _is_unique(batch.order_items, "line_id") & _is_unique(batch.orders, "order_id")
+    A line or order that cannot be found offers nothing to compare with, and the rule fails.
+    The rules are skipped when the parent key has repeats. That is decided by a scalar subquery
+    before the join, so the join never multiplies rows.
+    """
+    values = ["returned_quantity"] * quantity + ["return_date"] * dates
+    ordered = ["quantity"] * quantity + ["order_id"] * dates
+    returns = batch.returns.where(_complete_row(batch.returns) & _is_unique(batch.order_items, "line_id"))
+    looked_up = returns.select("line_id", SOURCE_ROW, *values).join(
+        batch.order_items.select("line_id", *ordered), "line_id", "left"
     )
-    ordered = batch.orders.select("order_id", F.col("order_timestamp").cast("date").alias("_ordered_on"))
-    return (
-        judged.join(batch.order_items.select("line_id", "order_id"), "line_id", "left")
-        .join(ordered, "order_id", "left")
-        .where(~F.coalesce(F.col(value) >= F.col("_ordered_on"), F.lit(False)))
-        .select(
-            F.col(SOURCE_ROW).alias("source_row"),
-            F.inline(F.array(_line_finding(check, value))),
+    rules = []
+    if quantity:
+        rules.append(
+            _line_rule("returned_quantity_lte_ordered", "returned_quantity", F.col("returned_quantity") <= F.col("quantity"))
         )
-    )
+    if dates:
+        orders_unique = _is_unique(batch.orders, "order_id")
+        days = batch.orders.select("order_id", F.col("order_timestamp").cast("date").alias("_ordered_on"))
+        looked_up = looked_up.join(days.where(orders_unique), "order_id", "left").withColumn("_judge_dates", orders_unique)
+        late, finding = _line_rule(
+            "return_date_on_or_after_order", "return_date", F.col("return_date") >= F.col("_ordered_on")
+        )
+        rules.append((late & F.col("_judge_dates"), finding))
+    any_broken = reduce(lambda x, y: x | y, [broken for broken, _ in rules])
+    listed = F.array_compact(F.array(*[F.when(broken, finding) for broken, finding in rules]))
+    return looked_up.where(any_broken).select(F.col(SOURCE_ROW).alias("source_row"), F.inline(listed))
 
 
 def _has(batch: SourceTables, table: str, *columns: str) -> bool:
@@ -364,14 +357,14 @@ def table_findings(batch: SourceTables, table: str) -> DataFrame:
         if fk.table == table and fk.column in df.columns and fk.parent_key in batch[fk.parent].columns:
             parts.append(foreign_key_findings(batch, fk))
     if table == "returns" and "line_id" in df.columns and _has(batch, "order_items", "line_id"):
-        if _has(batch, "returns", "returned_quantity") and _has(batch, "order_items", "quantity"):
-            parts.append(return_quantity_findings(batch))
-        if (
+        quantity = _has(batch, "returns", "returned_quantity") and _has(batch, "order_items", "quantity")
+        dates = (
             _has(batch, "returns", "return_date")
             and _has(batch, "order_items", "order_id")
             and _has(batch, "orders", "order_id", "order_timestamp")
-        ):
-            parts.append(return_date_findings(batch))
+        )
+        if quantity or dates:
+            parts.append(return_findings(batch, quantity, dates))
     return reduce(DataFrame.unionByName, parts).withColumn("source_table", F.lit(table))
 
 

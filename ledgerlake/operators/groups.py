@@ -70,23 +70,55 @@ def fill_from_group(
     return joined.select(*kept, *[c.alias(n) for n, c in filled.items()])
 
 
-def exact_median(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Interpolating median per group: columns ``key, median``.
+# Buckets of running counts: about 10,000 per factor e, enough to cover all doubles.
+_BUCKETS_PER_E = 10_000
+_ZERO_OFFSET = 10_000_000
+
+
+def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Number of rows ``_n`` per group and distinct value, NULL values left out."""
+    return df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
 
-    Equal values are counted first, map-side and then per (group, value). The ordered window
-    sees one row per distinct value, not one per table row.
+
+def running_counts(counts: DataFrame, key: str, value: str) -> DataFrame:
+    """Add ``_upto``, the rows of the group with this or a smaller value, and ``_all``.
+
+    Values fall into logarithmic buckets that keep their order. One window runs over the buckets
+    of a group, another over the values of one bucket; neither sees all values of a large group.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    ordered = Window.partitionBy(key).orderBy(value)
-    placed = counts.withColumns(
-        {
-            "_upto": F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "_all": F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }
+    number = F.col(value).cast("double")
+    magnitude = lambda x: F.floor(F.ln(x) * _BUCKETS_PER_E) + _ZERO_OFFSET
+    bucket = F.when(number > 0, magnitude(number)).when(number < 0, -magnitude(-number)).otherwise(F.lit(0))
+    placed = counts.withColumn("_bucket", bucket.cast("bigint"))
+    buckets = Window.partitionBy(key).orderBy("_bucket")
+    starts = (
+        placed.groupBy(key, "_bucket")
+        .agg(F.sum("_n").alias("_size"))
+        .select(
+            key,
+            "_bucket",
+            F.coalesce(F.sum("_size").over(buckets.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+            F.sum("_size")
+            .over(buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            .alias("_all"),
+        )
     )
-    at = lambda rank: F.min(F.when(F.col("_upto") >= rank, F.col(value)))
-    low = at(F.expr("(_all + 1) div 2"))
-    high = at(F.expr("(_all + 2) div 2"))
+    within = Window.partitionBy(key, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("_start") + F.sum("_n").over(within)
+    return placed.join(starts, [key, "_bucket"]).withColumn("_upto", upto).drop("_bucket", "_start")
+
+
+def value_at(rank: Column, value: str) -> Column:
+    """Aggregate: the value at a 1-based rank, from ``running_counts``."""
+    return F.min(F.when(F.col("_upto") >= rank, F.col(value)))
+
+
+def exact_median(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Interpolating median per group: columns ``key, median``. Equal values are counted first,
+    map-side, so what is ordered are the distinct values."""
+    placed = running_counts(value_counts(df, key, value), key, value)
+    low = value_at(F.expr("(_all + 1) div 2"), value)
+    high = value_at(F.expr("(_all + 2) div 2"), value)
     kind = df.schema[value].dataType.simpleString()
     return placed.groupBy(key).agg(((low + high) / 2).cast(kind).alias("median"))
 

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.exprs import lookup, number_or_null, timestamp_or_null
 from ledgerlake.operators.cleaning import CleaningRules
-from ledgerlake.operators.groups import lookup_where
+from ledgerlake.operators.groups import lookup_where, running_counts, value_at
+from ledgerlake.operators.groups import value_counts as count_values
 from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW
 
 
@@ -43,33 +44,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def numeric_summary(df: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of each numeric column.
 
-    Equal values are counted first. Each quartile interpolates between two ranks, which are
-    read from running counts over the distinct values."""
-    from pyspark.sql import Window
-
+    A quartile interpolates between the values at two ranks of the ordered distinct values."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name != SOURCE_ROW]
-    tall = df.select([F.col(c).cast("double").alias(c) for c in numeric]).unpivot(
-        [], numeric, "column_name", "value"
-    )
-    counts = tall.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy("column_name").orderBy("value")
-    placed = counts.withColumns(
-        {
-            "upto": F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "total": F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }
-    )
-
-    def at(rank):
-        return F.min(F.when(F.col("upto") >= rank, F.col("value")))
+    tall = df.select([F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column_name", "value")
+    placed = running_counts(count_values(tall, "column_name", "value"), "column_name", "value")
 
     def quantile(fourths: int):
-        # Zero-based position fourths * (total - 1) / 4, split into a rank and a remainder.
-        position = F.lit(fourths) * (F.col("total") - 1)
-        low = at(F.floor(position / 4) + 1)
-        high = at(F.ceil(position / 4) + 1)
-        share = F.max(F.pmod(position, F.lit(4))) / 4.0
-        return low + (high - low) * share
+        # Zero-based position fourths * (rows - 1) / 4, split into a rank and a remainder.
+        position = F.lit(fourths) * (F.col("_all") - 1)
+        low = value_at(F.floor(position / 4) + 1, "value")
+        high = value_at(F.ceil(position / 4) + 1, "value")
+        return low + (high - low) * (F.max(F.pmod(position, F.lit(4))) / 4.0)
 
     moments = tall.groupBy("column_name").agg(
         F.count("value").alias("value_count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")

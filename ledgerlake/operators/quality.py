@@ -293,15 +293,6 @@ def _fact_totals(sales: DataFrame, returns: DataFrame) -> DataFrame:
     return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
-def _compare_totals(actual: DataFrame, totals: DataFrame, name: str, exact, close, extra=None) -> DataFrame:
-    """One row: does a one-row ``actual`` deviate from the one-row totals?"""
-    both = actual.unionByName(totals, allowMissingColumns=True)
-    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
-    tests = [F.col(c) != F.col(f"t_{c}") for c in exact] + [_far(F.col(c), F.col(f"t_{c}")) for c in close]
-    broken = reduce(lambda a, b: a | b, tests + list(extra or []))
-    return both.select(F.lit(name).alias("check_name"), F.coalesce(broken, F.lit(False)).cast("bigint").alias("violations"))
-
-
 def _expected(sales: DataFrame, returns: DataFrame, *keys: str) -> DataFrame:
     """Orders (or order products) not fully returned, derived from the facts alone."""
     sold = sales.groupBy(*keys).agg(
@@ -336,67 +327,62 @@ def _compare_rows(expected: DataFrame, actual: DataFrame, name: str, keys: list[
         | _far(e("returned_revenue"), c("returned_revenue"))
         | _far(e("net_sales") - e("returned_revenue"), c("return_adjusted_value"))
     )
-    return both.agg(F.count_if(wrong).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+    return both.agg(
+        F.count_if(wrong).alias(f"{name}_measures"),
+        (F.count("e_customer_id") != F.count("customer_id")).cast("bigint").alias(f"{name}_population"),
+    )
+
+
+def _summed(mart: DataFrame, prefix: str, columns) -> DataFrame:
+    return mart.agg(*[F.sum(c).alias(f"{prefix}_{c}") for c in columns], F.count("*").alias(f"{prefix}_rows"))
 
 
 def mart_reconciliation(sales: DataFrame, returns: DataFrame, mart: Models) -> DataFrame:
-    """Seven named checks of the marts against the facts, with the number of violations."""
-    t = _fact_totals(sales, returns)
-    net_of_returns = F.col("t_net_sales") - F.col("t_returned_revenue")
-    net_profit = F.col("t_gross_profit") - F.col("t_profit_impact")
-    sum_all = lambda df, columns: df.agg(*[F.sum(c).alias(c) for c in columns])
+    """Seven named checks of the marts against the facts, with the number of violations.
+
+    The facts are totalled once; all one-row results are stacked and compared in one row."""
     quantities = ("ordered_quantity", "returned_quantity")
     amounts = (*_SOLD, *_BACK)
-
-    executive = _compare_totals(
-        mart["mart_executive"],
-        t,
-        "executive_grain_or_totals",
-        ("sales_line_count", "order_count", "customer_count", "return_event_count", *quantities),
-        amounts,
-        [_far(F.col("return_adjusted_revenue"), net_of_returns), _far(F.col("return_adjusted_profit"), net_profit)],
-    )
-    one_row = mart["mart_executive"].agg((F.count("*") != 1).cast("bigint").alias("violations"))
-    customers = _compare_totals(
-        sum_all(mart["mart_customer_360"], ("order_count", *quantities, *amounts, "return_adjusted_value", "return_adjusted_profit")),
-        t,
-        "customer_totals",
-        ("order_count", *quantities),
-        amounts,
-        [_far(F.col("return_adjusted_value"), net_of_returns), _far(F.col("return_adjusted_profit"), net_profit)],
-    )
-    forecast = _compare_totals(
-        sum_all(
+    executive = ("sales_line_count", "order_count", "customer_count", "return_event_count", *quantities)
+    orders, products = _expected(sales, returns, "order_id"), _expected(sales, returns, "order_id", "product_id")
+    one_row_results = [
+        _fact_totals(sales, returns),
+        _summed(mart["mart_executive"], "x", (*executive, *amounts, "return_adjusted_revenue", "return_adjusted_profit")),
+        _summed(
+            mart["mart_customer_360"],
+            "c",
+            ("order_count", *quantities, *amounts, "return_adjusted_value", "return_adjusted_profit"),
+        ),
+        _summed(
             mart["mart_forecasting_base"],
+            "f",
             ("order_count", *quantities, *amounts, "return_adjusted_revenue", "return_adjusted_profit"),
         ),
-        t,
-        "forecast_totals",
-        quantities,
-        amounts,
-        [
-            # An order with several categories counts once in each.
-            F.col("order_count") < F.col("t_order_count"),
-            _far(F.col("return_adjusted_revenue"), net_of_returns),
-            _far(F.col("return_adjusted_profit"), net_profit),
-        ],
-    )
-    orders = _expected(sales, returns, "order_id")
-    products = _expected(sales, returns, "order_id", "product_id")
-    sizes = orders.select(F.lit(1).alias("s")).unionAll(mart["mart_cohort_base"].select(F.lit(-1).alias("s")))
-    population = sizes.agg((F.coalesce(F.sum("s"), F.lit(0)) != 0).cast("bigint").alias("violations"))
-    return _union(
-        [
-            executive,
-            one_row.select(F.lit("executive_row_count").alias("check_name"), "violations"),
-            customers,
-            population.select(F.lit("cohort_population").alias("check_name"), "violations"),
-            _compare_rows(orders, mart["mart_cohort_base"], "cohort_measures", ["order_id"], "retained_quantity"),
-            _compare_rows(
-                products, mart["mart_basket_base"], "basket_measures", ["order_id", "product_id"], "remaining_quantity"
-            ),
-            forecast,
-        ]
-    )
-
-
+        _compare_rows(orders, mart["mart_cohort_base"], "cohort", ["order_id"], "retained_quantity"),
+        _compare_rows(products, mart["mart_basket_base"], "basket", ["order_id", "product_id"], "remaining_quantity"),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row_results)
+    row = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+    net = F.col("t_net_sales") - F.col("t_returned_revenue")
+    profit = F.col("t_gross_profit") - F.col("t_profit_impact")
+
+    def deviates(prefix: str, exact, value: str, *more: Column) -> Column:
+        own = lambda c: F.col(f"{prefix}_{c}")
+        tests = [own(c) != F.col(f"t_{c}") for c in exact] + [_far(own(c), F.col(f"t_{c}")) for c in amounts]
+        tests += [_far(own(value), net), _far(own("return_adjusted_profit"), profit), *more]
+        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)).cast("bigint")
+
+    # An order with several categories counts once in each of them.
+    too_few = F.col("f_order_count") < F.col("t_order_count")
+    checks = {
+        "executive_grain_or_totals": deviates("x", executive, "return_adjusted_revenue"),
+        "executive_row_count": (F.col("x_rows") != 1).cast("bigint"),
+        "customer_totals": deviates("c", ("order_count", *quantities), "return_adjusted_value"),
+        "cohort_population": F.col("cohort_population"),
+        "cohort_measures": F.col("cohort_measures"),
+        "basket_measures": F.col("basket_measures"),
+        "forecast_totals": deviates("f", quantities, "return_adjusted_revenue", too_few),
+    }
+    rows = [F.struct(F.lit(name).alias("check_name"), n.alias("violations")) for name, n in checks.items()]
+    return row.select(F.inline(F.array(*rows)))

@@ -14,6 +14,7 @@ never read, and its load id cannot be used again.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from functools import cached_property
@@ -29,6 +30,7 @@ from ledgerlake.plans import conform, gold, marts
 from ledgerlake.plans.staging import STAGING
 from ledgerlake.schemas import LINEAGE, SOURCE_ROW, SOURCE_TABLES, SourceTables
 
+CONCURRENT_WRITES = 4
 AREAS = ("bronze", "silver", "gold", "audit")
 
 RUN_SCHEMA = T.StructType(
@@ -208,8 +210,11 @@ class Lake:
             outcome = self._summary(load_id, fingerprint, "succeeded", summarize(batch, self.failures(load_id)))
             counted = {c: getattr(outcome, c) for c in counted}
             self._record(**run, **counted, status="running")
-            for table in SOURCE_TABLES:
-                self._append_bronze(table, batch[table], load_id, started)
+            # Independent writes overlap: the tail of one leaves cores for the next.
+            with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
+                writes = [pool.submit(self._append_bronze, t, batch[t], load_id, started) for t in SOURCE_TABLES]
+            for write in writes:
+                write.result()
         except Exception as error:
             message = str(error) or type(error).__name__
             kept = {**counted, "valid_row_count": 0, "invalid_row_count": 0}

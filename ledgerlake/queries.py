@@ -80,12 +80,12 @@ def contract_fk(w: Workbench) -> DataFrame:
 
 @query
 def contract_return_qty(w: Workbench) -> DataFrame:
-    return contracts.return_quantity_findings(w.closed_batch)
+    return contracts.return_findings(w.closed_batch, dates=False)
 
 
 @query
 def contract_return_date(w: Workbench) -> DataFrame:
-    return contracts.return_date_findings(w.closed_batch)
+    return contracts.return_findings(w.closed_batch, quantity=False)
 
 
 @query

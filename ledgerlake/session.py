@@ -50,3 +50,21 @@ def work_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="ledgerlake-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(hadoop_path).getLength()
+
+
+def fit_shuffle_partitions(spark: SparkSession, path: str) -> int:
+    """Raise the shuffle partition count to the input's size, never lower it.
+
+    About 64 MB of compressed columns per partition leaves room for decoding and for rows that
+    several operators widen; AQE merges the partitions that turn out small.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(current, input_bytes(spark, path) // (64 << 20)), 100_000)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted

@@ -14,7 +14,7 @@ from ledgerlake.plans import conform, gold, marts
 from ledgerlake.plans.lake import IngestionSummary, Lake
 from ledgerlake.plans.sheet import writer
 from ledgerlake.schemas import SOURCE_TABLES, SourceTables
-from ledgerlake.session import apply_runtime_conf, work_dir
+from ledgerlake.session import apply_runtime_conf, fit_shuffle_partitions, work_dir
 from ledgerlake.sources import shop_tables
 
 LOAD_ID = "load-0001"
@@ -36,6 +36,7 @@ class Workbench:
         key = (application, folder)
         if key not in _open:
             name = sha256(folder.encode()).hexdigest()[:12]
+            fit_shuffle_partitions(spark, folder)
             _open[key] = cls(spark, folder, f"{work_dir(spark)}/ledgerlake/{application}/{name}")
         return _open[key]
 

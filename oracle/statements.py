@@ -136,7 +136,7 @@ FROM table_sizes LEFT JOIN finding_counts USING (source_table)"""
 SELECT * FROM src_returns WHERE _source_row NOT IN (SELECT source_row FROM findings WHERE source_table = 'returns')"""
     q["bronze_lineage"] = _union(
         f"SELECT '{t.LOAD}' AS _load_id, '{table}.csv' AS _source_file, count(*) AS row_count, "
-        f"min(_source_row) AS first_row, max(_source_row) AS last_row, 0 AS rows_without_time FROM src_{table}"
+        f"min(_source_row) AS first_row, max(_source_row) AS last_row, CAST(0 AS BIGINT) AS rows_without_time FROM src_{table}"
         for table in t.TABLES
     )
     q["validation_failures"] = (
@@ -311,7 +311,7 @@ UNION ALL SELECT 'basket_measures', count(*) FROM mart_basket_base WHERE remaini
 UNION ALL SELECT 'forecast_totals', CAST(sum(order_count) < max(orders) OR abs(sum(net_sales) - max(net)) > 0.01
    OR abs(sum(return_adjusted_revenue) - (max(net) - max(back))) > 0.01 AS BIGINT) FROM mart_forecasting_base, s, b"""
 
-    q["profile_shape"] = "SELECT count(*) AS row_count, count(DISTINCT Order_ID) AS unique_keys, 11 AS column_count FROM sheet"
+    q["profile_shape"] = "SELECT count(*) AS row_count, count(DISTINCT Order_ID) AS unique_keys, CAST(11 AS BIGINT) AS column_count FROM sheet"
     q["profile_missing"] = "SELECT * FROM ({}) WHERE missing > 0".format(
         _union(
             f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing FROM sheet" for c in t.SHEET_COLUMNS
