@@ -84,7 +84,7 @@ def _reaches_dates() -> Column:
     return ~F.col("_bad_quantity") & ~F.col("_bad_discount")
 
 
-def recover_order_values(df: DataFrame, hot: DataFrame, rules: CleaningRules) -> DataFrame:
+def recover_order_values(df: DataFrame, hot: DataFrame) -> DataFrame:
     """Take a missing city, payment method or date from another line of the same order.
 
     All three share one sort per order. Dates come only from lines that reach the date step."""
@@ -98,7 +98,6 @@ def recover_order_values(df: DataFrame, hot: DataFrame, rules: CleaningRules) ->
             "_date": F.when(_reaches_dates(), F.col("_date")),
         },
         hot,
-        rules.hot_rows,
     )
     return filled.withColumns(
         {
@@ -138,7 +137,7 @@ def parsed_sheet(raw: DataFrame, rules: CleaningRules) -> DataFrame:
 
 def judge_rows(parsed: DataFrame, hot: DataFrame, medians: DataFrame, rules: CleaningRules) -> DataFrame:
     """Every distinct line with its cleaned values, its flags and ``_kept``."""
-    judged = correct_categories(repair_prices(recover_order_values(parsed, hot, rules), medians), rules)
+    judged = correct_categories(repair_prices(recover_order_values(parsed, hot), medians), rules)
     return judged.withColumn("_kept", _reaches_dates() & F.col("Order_Date").isNotNull())
 
 
@@ -147,7 +146,7 @@ def judged_sheet(raw: DataFrame, rules: CleaningRules, stage: Stage = _no_stage)
     lets Spark size the median table before it chooses how to join it."""
     parsed = stage(parsed_sheet(raw, rules), "parsed")
     medians = stage(price_medians(parsed), "medians")
-    hot = hot_groups(raw, "Order_ID", rules.hot_rows)
+    hot = hot_groups(raw, "Order_ID", SOURCE_ROW, rules.hot_rows)
     return stage(judge_rows(parsed, hot, medians, rules), "judged")
 
 

@@ -6,31 +6,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_GROUP_ROWS = 1_000_000
+MAX_HOT_GROUPS = 50_000
 NULL_SPREAD = 1024
 
 
-def hot_groups(df: DataFrame, key: str, rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows. At most (table rows / ``rows``) keys can qualify."""
-    return df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > rows).select(key)
+def hot_groups(df: DataFrame, key: str, order: str, rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Groups too large for one task, with the slices to cut them into: ``key, first, width``.
+
+    A group is hot above ``rows`` rows, or above 1/50,000 of the table if that is more, so there
+    are at most 50,000 of them whatever the table's size. Each is cut over its own range of
+    positions into as many slices as it has multiples of that limit: at most 100,000 in all.
+    """
+    limit = F.greatest(F.lit(rows), F.ceil(df.agg(F.count("*")).scalar() / MAX_HOT_GROUPS))
+    sizes = df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))
+    slices = F.ceil(F.col("n") / limit)
+    width = F.ceil((F.col("last") - F.col("first") + 1) / slices)
+    return sizes.where(F.col("n") > limit).select(key, "first", width.alias("width"))
 
 
-def fill_from_group(
-    df: DataFrame, key: str, order: str, columns: dict[str, Column], hot: DataFrame, rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def fill_from_group(df: DataFrame, key: str, order: str, columns: dict[str, Column], hot: DataFrame) -> DataFrame:
     """Fill NULLs from the nearest earlier row of the group, else from the nearest later one.
 
     ``columns`` maps each output column to the value to fill. If nothing precedes a row, the
     nearest later value is the first value of the whole group, so one sort serves both
-    directions. A group in ``hot`` is cut into slices of ``rows`` positions that are sorted
-    apart; what reaches a slice from its neighbours comes from one summary row per slice. Both
-    ``hot`` and the summaries are bounded by twice the table's rows / ``rows``, hence broadcast.
+    directions. The groups in ``hot`` are sorted slice by slice; what reaches a slice from the
+    others comes from one summary row per slice. ``hot_groups`` bounds both small tables by a
+    constant, which is why they are broadcast.
     """
     names = list(columns)
-    marked = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot")))
-    slice_of = F.when(F.col("_hot"), F.floor(F.col(order) / rows)).otherwise(F.lit(0)).cast("bigint")
+    marked = F.broadcast(hot.select(F.col(key).alias("_hot_key"), "first", "width"))
+    position = F.floor((F.col(order) - F.col("first")) / F.col("width"))
+    slice_of = F.when(F.col("width").isNotNull(), position).otherwise(F.lit(0)).cast("bigint")
     values = df.withColumns({f"_v_{n}": c for n, c in columns.items()})
     is_key = F.col(key).eqNullSafe(F.col("_hot_key"))
-    sliced = values.join(marked, is_key, "left").withColumn("_slice", slice_of).drop("_hot_key")
+    sliced = values.join(marked, is_key, "left").withColumn("_slice", slice_of).drop("_hot_key", "first")
 
     in_order = Window.partitionBy(key, "_slice").orderBy(order)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -40,14 +49,14 @@ def fill_from_group(
         | {f"_first_{n}": F.first(f"_v_{n}", ignorenulls=True).over(whole) for n in names}
     )
 
+    known = lambda which, n: F.expr(
+        f"{which}_by(`_v_{n}`, `{order}`) filter (where `_v_{n}` is not null)"
+    )
     summaries = (
         values.join(marked, is_key, "inner")
         .withColumn("_slice", slice_of)
         .groupBy("_hot_key", "_slice")
-        .agg(
-            *[F.expr(f"min_by(`_v_{n}`, `{order}`) filter (where `_v_{n}` is not null)").alias(f"_lo_{n}") for n in names],
-            *[F.expr(f"max_by(`_v_{n}`, `{order}`) filter (where `_v_{n}` is not null)").alias(f"_hi_{n}") for n in names],
-        )
+        .agg(*[known("min", n).alias(f"_lo_{n}") for n in names], *[known("max", n).alias(f"_hi_{n}") for n in names])
     )
     slices = Window.partitionBy("_hot_key").orderBy("_slice")
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -58,7 +67,7 @@ def fill_from_group(
         *[F.last(f"_hi_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in names],
         *[F.first(f"_lo_{n}", ignorenulls=True).over(every).alias(f"_head_{n}") for n in names],
     )
-    same_slice = is_key & (F.col("_slice") == F.col("_hot_slice")) & F.col("_hot")
+    same_slice = is_key & (F.col("_slice") == F.col("_hot_slice")) & F.col("width").isNotNull()
     joined = local.join(F.broadcast(carried), same_slice, "left")
     filled = {
         n: F.when(F.col(key).isNull(), F.col(f"_v_{n}")).otherwise(

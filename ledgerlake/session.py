@@ -58,13 +58,18 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(hadoop_path).getLength()
 
 
-def fit_shuffle_partitions(spark: SparkSession, path: str) -> int:
-    """Raise the shuffle partition count to the input's size, never lower it.
+def fit_to_input(spark: SparkSession, path: str) -> int:
+    """Size shuffles and scans by the input; returns the shuffle partition count.
 
-    About 64 MB of compressed columns per partition leaves room for decoding and for rows that
-    several operators widen; AQE merges the partitions that turn out small.
+    About 64 MB of compressed columns per shuffle partition leaves room for decoding and for
+    rows that several operators widen; AQE merges the partitions that turn out small. The count
+    is only ever raised. Scan splits grow from 128 MB to at most 1 GB, to keep the number of
+    tasks and of files a load writes in the tens of thousands.
     """
+    size = input_bytes(spark, path)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(current, input_bytes(spark, path) // (64 << 20)), 100_000)
+    wanted = min(max(current, size // (64 << 20)), 100_000)
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    split = min(max(128 << 20, size // 100_000), 1 << 30)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return wanted

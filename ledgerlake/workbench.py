@@ -13,8 +13,8 @@ from ledgerlake.operators.groups import hot_groups
 from ledgerlake.plans import conform, gold, marts
 from ledgerlake.plans.lake import IngestionSummary, Lake
 from ledgerlake.plans.sheet import writer
-from ledgerlake.schemas import SOURCE_TABLES, SourceTables
-from ledgerlake.session import apply_runtime_conf, fit_shuffle_partitions, work_dir
+from ledgerlake.schemas import SOURCE_ROW, SOURCE_TABLES, SourceTables
+from ledgerlake.session import apply_runtime_conf, fit_to_input, work_dir
 from ledgerlake.sources import shop_tables
 
 LOAD_ID = "load-0001"
@@ -36,7 +36,7 @@ class Workbench:
         key = (application, folder)
         if key not in _open:
             name = sha256(folder.encode()).hexdigest()[:12]
-            fit_shuffle_partitions(spark, folder)
+            fit_to_input(spark, folder)
             _open[key] = cls(spark, folder, f"{work_dir(spark)}/ledgerlake/{application}/{name}")
         return _open[key]
 
@@ -138,7 +138,7 @@ class Workbench:
         return self._sheet_table(cleaning.price_medians(self.parsed), "medians")
 
     def judging_plan(self) -> DataFrame:
-        hot = hot_groups(self.sheet, "Order_ID", self.rules.hot_rows)
+        hot = hot_groups(self.sheet, "Order_ID", SOURCE_ROW, self.rules.hot_rows)
         return cleaning.judge_rows(self.parsed, hot, self.medians, self.rules)
 
     @cached_property

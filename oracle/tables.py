@@ -164,11 +164,15 @@ def foreign_key_sql(table: str, check: str, column: str, parent: str, child_from
     return _finding(table, check, column, f"CAST({column} AS VARCHAR)", source)
 
 
+def _unique(table: str, key: str) -> str:
+    return f"(SELECT count(*) = count(DISTINCT {key}) FROM {table})"
+
+
 def return_quantity_sql(items: str) -> str:
     case = "'returned_quantity=' || returned_quantity || ', line_id=''' || r.line_id || ''''"
     source = (
         f"src_returns r LEFT JOIN {items} i ON i.line_id = r.line_id "
-        "WHERE i.quantity IS NULL OR r.returned_quantity > i.quantity"
+        f"WHERE {_unique(items, 'line_id')} AND (i.quantity IS NULL OR r.returned_quantity > i.quantity)"
     )
     sql = _finding("returns", "returned_quantity_lte_ordered", "returned_quantity,line_id", case, source)
     return sql.replace("CAST(_source_row", "CAST(r._source_row")
@@ -178,7 +182,8 @@ def return_date_sql(items: str, orders: str) -> str:
     case = "'return_date=' || r.return_date || ', line_id=''' || r.line_id || ''''"
     source = (
         f"src_returns r LEFT JOIN {items} i ON i.line_id = r.line_id LEFT JOIN {orders} o ON o.order_id = i.order_id "
-        "WHERE o.order_timestamp IS NULL OR r.return_date < CAST(o.order_timestamp AS DATE)"
+        f"WHERE {_unique(items, 'line_id')} AND {_unique(orders, 'order_id')} "
+        "AND (o.order_timestamp IS NULL OR r.return_date < CAST(o.order_timestamp AS DATE))"
     )
     sql = _finding("returns", "return_date_on_or_after_order", "return_date,line_id", case, source)
     return sql.replace("CAST(_source_row", "CAST(r._source_row")

@@ -148,15 +148,16 @@ def test_fill_is_the_same_whether_groups_are_sliced_or_not(spark, limit):
     ]
     rows = [(k, i, None if k == "empty" else v) for k, i, v in rows]
     df = spark.createDataFrame(rows, "k string, i long, v string")
-    hot = hot_groups(df, "k", limit)
-    result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot, limit)
+    hot = hot_groups(df, "k", "i", limit)
+    assert hot.count() == len({k for k, _, _ in rows if sum(r[0] == k for r in rows) > limit})
+    result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot)
     assert sorted((tuple(r) for r in result.select("k", "i", "v").collect()), key=repr) == neighbours(rows)
 
 
 def test_rows_without_a_group_keep_their_own_value(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), ("k", 3, "b")], "k string, i long, v string")
     for limit in (1, 100):
-        result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot_groups(df, "k", limit), limit)
+        result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot_groups(df, "k", "i", limit))
         assert [r["v"] for r in result.orderBy("i").collect()] == ["a", None, "b"]
 
 

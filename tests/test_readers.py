@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from ledgerlake.schemas import FLAT_SCHEMA
-from ledgerlake.session import fit_shuffle_partitions
+from ledgerlake.session import fit_to_input
 from ledgerlake.sources.readers import number_rows, read_flat_csv, read_parquet
 
 
@@ -43,4 +43,4 @@ def test_partitions_are_only_raised(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).write.parquet(path)
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert fit_shuffle_partitions(spark, path) == before
+    assert fit_to_input(spark, path) == before
