@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.groups import attach_group_value
 from ledgerlake.schemas import SOURCE_ROW, SOURCE_TABLES, TABLES, Field, SourceTables
 
 FINDING_SCHEMA = T.StructType(
@@ -272,10 +273,15 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
+def rows_with_repeated_key(df: DataFrame, key: str) -> DataFrame:
+    """All copies of rows whose (text) key occurs more than once."""
+    return attach_group_value(df, key, repeated_keys(df, key), "copies", "copies").where(F.col("copies").isNotNull())
+
+
 def uniqueness_findings(df: DataFrame, key: str) -> DataFrame:
     """Every copy of a repeated, non-NULL key."""
-    keyed = df.select(key, SOURCE_ROW).where(F.col(key).isNotNull())
-    return keyed.join(repeated_keys(keyed, key).select(key), key, "left_semi").select(
+    keyed = df.select(F.col(key).cast("string").alias(key), SOURCE_ROW).where(F.col(key).isNotNull())
+    return rows_with_repeated_key(keyed, key).select(
         F.col(SOURCE_ROW).alias("source_row"),
         F.inline(F.array(_finding("field_uniqueness", key, F.col(key)))),
     )

@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.schemas import SOURCE_ROW
+
 HOT_GROUP_ROWS = 1_000_000
 MAX_HOT_GROUPS = 50_000
 NULL_SPREAD = 1024
 
 
+def _hot_limit(df: DataFrame, rows: int) -> Column:
+    """Rows above which a group is hot; a plain count, which needs no shuffle."""
+    return F.greatest(F.lit(rows), F.ceil(df.agg(F.count("*")).scalar() / MAX_HOT_GROUPS))
+
+
 def hot_groups(df: DataFrame, key: str, order: str, rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Groups too large for one task, with the slices to cut them into: ``key, first, width``.
 
@@ -17,7 +24,7 @@ def hot_groups(df: DataFrame, key: str, order: str, rows: int = HOT_GROUP_ROWS)
     are at most 50,000 of them whatever the table's size. Each is cut over its own range of
     positions into as many slices as it has multiples of that limit: at most 100,000 in all.
     """
-    limit = F.greatest(F.lit(rows), F.ceil(df.agg(F.count("*")).scalar() / MAX_HOT_GROUPS))
+    limit = _hot_limit(df, rows)
     sizes = df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))
     slices = F.ceil(F.col("n") / limit)
     width = F.ceil((F.col("last") - F.col("first") + 1) / slices)
@@ -132,15 +139,42 @@ def exact_median(df: DataFrame, key: str, value: str) -> DataFrame:
     return placed.groupBy(key).agg(((low + high) / 2).cast(kind).alias("median"))
 
 
-def lookup_where(df: DataFrame, needed: Column, key: str, table: DataFrame, value: str, alias: str) -> DataFrame:
-    """Left lookup of ``table[value]`` by ``key`` for the rows that need it.
+def lookup_where(
+    df: DataFrame, needed: Column, key: str, table: DataFrame, value: str, alias: str, spread: str = SOURCE_ROW
+) -> DataFrame:
+    """Left lookup of ``table[value]`` by the text ``key``, for the rows that need it.
 
-    Join keys are ``0|<key>``. Rows that need no lookup get ``<1..1024>|``, which never matches:
-    should the table be too large to broadcast, they scatter over all partitions instead of
-    piling up on NULL. Popular keys among the rest are left to Spark's skew-join splitting.
+    Join keys are ``0|<key>``. Rows that need no lookup get ``<1..1024>|`` by the hash of the
+    ``spread`` column, which never matches: should the table be too large to broadcast, they
+    scatter over all partitions instead of piling up on NULL or on popular keys.
     """
     wanted = F.coalesce(needed, F.lit(False)) & F.col(key).isNotNull()
-    elsewhere = (F.pmod(F.xxhash64(*df.columns[:1]), F.lit(NULL_SPREAD)) + 1).cast("string")
+    elsewhere = (F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD)) + 1).cast("string")
     own = F.when(wanted, F.concat(F.lit("0|"), F.col(key))).otherwise(F.concat(elsewhere, F.lit("|")))
     side = table.select(F.concat(F.lit("0|"), F.col(key)).alias("_wanted"), F.col(value).alias(alias))
     return df.withColumn("_wanted", own).join(side, "_wanted", "left").drop("_wanted")
+
+
+def attach_group_value(
+    df: DataFrame,
+    key: str,
+    groups: DataFrame,
+    value: str,
+    size: str,
+    spread: str = SOURCE_ROW,
+    rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Bring a value computed per group back to the group's rows.
+
+    ``groups`` has one row per key with the group's ``size``. Spark splits a hot join key only
+    between two plain shuffles, not against an aggregate whose partitioning is reused; so the
+    values of hot groups, at most 50,000 of them, are broadcast, and their rows are kept out of
+    the shuffled join for the others.
+    """
+    is_hot = F.col(size) > _hot_limit(df, rows)
+    hot = groups.where(is_hot).select(F.col(key).alias("_hot_key"), F.col(value).alias("_hot_value"))
+    marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    cold = groups.where(~is_hot).select(key, value)
+    looked_up = lookup_where(marked, F.col("_hot_key").isNull(), key, cold, value, "_cold_value", spread)
+    found = F.when(F.col("_hot_key").isNotNull(), F.col("_hot_value")).otherwise(F.col("_cold_value"))
+    return looked_up.withColumn(value, found).drop("_hot_key", "_hot_value", "_cold_value")

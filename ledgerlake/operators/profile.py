@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.exprs import lookup, number_or_null, timestamp_or_null
 from ledgerlake.operators.cleaning import CleaningRules
+from ledgerlake.operators.contracts import rows_with_repeated_key
 from ledgerlake.operators.groups import lookup_where, running_counts, value_at
 from ledgerlake.operators.groups import value_counts as count_values
 from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW
@@ -30,11 +31,11 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def duplicated_rows(df: DataFrame) -> DataFrame:
-    """All copies of rows that occur more than once, including the first."""
+    """All copies of rows that occur more than once, including the first. Rows are compared by
+    their JSON text, in which a NULL field is absent and numbers keep all digits."""
     columns = [c for c in df.columns if c != SOURCE_ROW]
-    repeated = df.groupBy(*columns).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    pairs = [df[c].eqNullSafe(repeated[c]) for c in columns]
-    return df.join(repeated, pairs, "left_semi")
+    keyed = df.withColumn("_row", F.to_json(F.struct(*columns)))
+    return rows_with_repeated_key(keyed, "_row").select(*df.columns)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

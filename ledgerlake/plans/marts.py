@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import MONEY, month_diff, month_start, ratio, week_start
+from ledgerlake.operators.groups import attach_group_value
 
 SALES_MONEY = ("gross_sales", "discount_amount", "net_sales", "cogs", "gross_profit")
 RETURN_MONEY = ("returned_revenue", "reversed_cogs", "profit_impact")
@@ -129,15 +130,18 @@ def mart_customer_360(customers: DataFrame, outcomes: DataFrame) -> DataFrame:
 def mart_cohort_base(outcomes: DataFrame) -> DataFrame:
     """Orders not fully returned, with the month of the customer's first such order.
 
-    The first month is an aggregate joined back rather than a window over the customer, so that
-    a customer with very many orders is not gathered in one task. Both branches scan the
-    written ``order_outcomes``, each with the few columns it needs.
+    The first month is an aggregate brought back to the orders rather than a window over the
+    customer, so that a customer with very many orders is not gathered in one task. All
+    branches scan the written ``order_outcomes``, each with the few columns it needs.
     """
     completed = outcomes.where(F.col("ordered_quantity") > F.col("returned_quantity")).withColumn(
         "order_month", month_start(F.col("order_date"))
     )
-    first = completed.groupBy("customer_id").agg(F.min("order_month").alias("acquisition_cohort_month"))
-    return completed.join(first, "customer_id").select(
+    first = completed.groupBy("customer_id").agg(
+        F.min("order_month").alias("acquisition_cohort_month"), F.count("*").alias("orders")
+    )
+    dated = attach_group_value(completed, "customer_id", first, "acquisition_cohort_month", "orders", spread="order_id")
+    return dated.select(
         "order_id",
         "customer_id",
         "order_date",

@@ -40,7 +40,7 @@ def run_sheet_pipeline(raw: DataFrame, rules: cleaning.CleaningRules, root: str)
         raise AssertionError("; ".join(f"{r['rule']}: {r['violations']}" for r in broken))
     lines = out(kpi.add_calculated_columns(cleaned), "report/Cleaned_Data")
     tables = {"Summary": kpi.kpi_summary(lines), **kpi.analysis_tables(lines)}
-    report = {name: out(table.coalesce(1), f"report/{name}") for name, table in tables.items()}
+    report = {name: out(table, f"report/{name}") for name, table in tables.items()}
     unreconciled = kpi.reconcile_tables(lines).where("not reconciled").collect()
     if unreconciled:
         raise AssertionError(f"not reconciled: {[r['table_name'] for r in unreconciled]}")

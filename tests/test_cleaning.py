@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import number_or_null, strip, timestamp_or_null, title_case
 from ledgerlake.operators import cleaning, kpi, profile
-from ledgerlake.operators.groups import exact_median, fill_from_group, hot_groups, lookup_where
+from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, lookup_where
 from ledgerlake.plans.sheet import run_sheet_pipeline
 from ledgerlake.schemas import FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, with_source_row
 
@@ -173,10 +173,21 @@ def test_median_matches_python(spark):
 def test_lookup_only_where_needed(spark):
     df = spark.createDataFrame([(1, "a", True), (2, "a", False), (3, None, True), (4, "b", None), (5, "z", True)], "i int, k string, need boolean")
     table = spark.createDataFrame([("a", 10), ("b", 20)], "k string, v int")
-    rows = lookup_where(df, F.col("need"), "k", table, "v", "found").orderBy("i").collect()
+    rows = lookup_where(df, F.col("need"), "k", table, "v", "found", spread="i").orderBy("i").collect()
     assert [r["found"] for r in rows] == [10, None, None, None, None]
 
 
+@pytest.mark.parametrize("limit", [1, 3, 1000])
+def test_group_values_reach_hot_and_other_rows(spark, limit):
+    rows = [(i, k) for i, k in enumerate("aaaaabbc")] + [(90, None), (91, "z")]
+    df = spark.createDataFrame(rows, "i int, k string")
+    groups = df.where("k is not null and k <> 'z'").groupBy("k").agg(F.count("*").alias("n"))
+    got = attach_group_value(df, "k", groups, "n", "n", spread="i", rows=limit).orderBy("i").collect()
+    assert [r["n"] for r in got] == [5] * 5 + [2] * 2 + [1] + [None, None]
+    empty = attach_group_value(df, "k", groups.limit(0), "n", "n", spread="i", rows=limit)
+    assert {r["n"] for r in empty.collect()} == {None} and empty.count() == 10
+
+
 @pytest.mark.parametrize(
     "text",
     ["new york", "SAN FRANCISCO", "saint-john", "o'neil's", "l'été", "3rd street", "a  b", "", "winston-SALEM nc"],
