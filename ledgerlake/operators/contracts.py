@@ -47,12 +47,13 @@ _ACCEPTED_TYPES = {
 
 @dataclass(frozen=True)
 class ValueRule:
-    """Rule on one column. ``ok`` gets the column and the batch; NULL values are not judged."""
+    """Rule on one column: a SQL condition over ``{c}``, the batch dates and vocabularies. NULL
+    values are not judged."""
 
     table: str
     name: str
     column: str
-    ok: Callable[[Column, SourceTables], Column]
+    ok: str
 
 
 @dataclass(frozen=True)
@@ -74,47 +75,32 @@ class ForeignKey:
     parent_key: str
 
 
-def _positive(column: Column, _batch: SourceTables) -> Column:
-    return column > 0
-
-
-def _unit_interval(column: Column, _batch: SourceTables) -> Column:
-    return column.between(0, 1)
-
-
-def _until_batch_end(column: Column, batch: SourceTables) -> Column:
-    return column <= F.lit(batch.end_date)
-
-
-def _within_batch(column: Column, batch: SourceTables) -> Column:
-    return column.cast("date").between(F.lit(batch.start_date), F.lit(batch.end_date))
-
-
-def _one_of(vocabulary_field: str):
-    return lambda column, batch: column.isin(*getattr(batch.vocabulary, vocabulary_field))
-
+_POSITIVE = "{c} > 0"
+_UNIT_INTERVAL = "{c} BETWEEN 0 AND 1"
+_UNTIL_BATCH_END = "{c} <= {end}"
+_WITHIN_BATCH = "CAST({c} AS DATE) BETWEEN {start} AND {end}"
 
 # Rule names, the columns they judge and the bounds they apply.
 VALUE_RULES = (
-    ValueRule("customers", "signup_date_on_or_before_batch_end", "signup_date", _until_batch_end),
-    ValueRule("customers", "segment_allowed", "segment", _one_of("segments")),
-    ValueRule("products", "base_price_positive", "base_price", _positive),
-    ValueRule("products", "base_cost_positive", "base_cost", _positive),
-    ValueRule("orders", "order_timestamp_in_range", "order_timestamp", _within_batch),
-    ValueRule("orders", "channel_allowed", "channel", _one_of("channels")),
-    ValueRule("orders", "payment_method_allowed", "payment_method", _one_of("payment_methods")),
-    ValueRule("order_items", "quantity_positive", "quantity", _positive),
-    ValueRule("order_items", "unit_price_positive", "unit_price", _positive),
-    ValueRule("order_items", "unit_cost_positive", "unit_cost", _positive),
-    ValueRule("order_items", "discount_rate_between_zero_and_one", "discount_rate", _unit_interval),
-    ValueRule("returns", "return_date_on_or_before_batch_end", "return_date", _until_batch_end),
-    ValueRule("returns", "returned_quantity_positive", "returned_quantity", _positive),
-    ValueRule("returns", "return_reason_allowed", "reason", _one_of("return_reasons")),
-    ValueRule("promotions", "promotion_start_date_in_range", "start_date", _within_batch),
-    ValueRule("promotions", "promotion_end_date_in_range", "end_date", _within_batch),
-    ValueRule("promotions", "discount_policy_between_zero_and_one", "discount_policy", _unit_interval),
-    ValueRule("calendar_events", "calendar_date_in_range", "date", _within_batch),
-    ValueRule("calendar_events", "season_allowed", "seasonal_event", _one_of("seasons")),
+    ValueRule("customers", "signup_date_on_or_before_batch_end", "signup_date", _UNTIL_BATCH_END),
+    ValueRule("customers", "segment_allowed", "segment", "{c} IN ({segments})"),
+    ValueRule("products", "base_price_positive", "base_price", _POSITIVE),
+    ValueRule("products", "base_cost_positive", "base_cost", _POSITIVE),
+    ValueRule("orders", "order_timestamp_in_range", "order_timestamp", _WITHIN_BATCH),
+    ValueRule("orders", "channel_allowed", "channel", "{c} IN ({channels})"),
+    ValueRule("orders", "payment_method_allowed", "payment_method", "{c} IN ({payment_methods})"),
+    ValueRule("order_items", "quantity_positive", "quantity", _POSITIVE),
+    ValueRule("order_items", "unit_price_positive", "unit_price", _POSITIVE),
+    ValueRule("order_items", "unit_cost_positive", "unit_cost", _POSITIVE),
+    ValueRule("order_items", "discount_rate_between_zero_and_one", "discount_rate", _UNIT_INTERVAL),
+    ValueRule("returns", "return_date_on_or_before_batch_end", "return_date", _UNTIL_BATCH_END),
+    ValueRule("returns", "returned_quantity_positive", "returned_quantity", _POSITIVE),
+    ValueRule("returns", "return_reason_allowed", "reason", "{c} IN ({return_reasons})"),
+    ValueRule("promotions", "promotion_start_date_in_range", "start_date", _WITHIN_BATCH),
+    ValueRule("promotions", "promotion_end_date_in_range", "end_date", _WITHIN_BATCH),
+    ValueRule("promotions", "discount_policy_between_zero_and_one", "discount_policy", _UNIT_INTERVAL),
+    ValueRule("calendar_events", "calendar_date_in_range", "date", _WITHIN_BATCH),
+    ValueRule("calendar_events", "season_allowed", "seasonal_event", "{c} IN ({seasons})"),
 )
 ORDERED_PAIRS = (
     OrderedPair("products", "base_cost_lte_price", "base_cost", "base_price"),
@@ -171,73 +157,77 @@ def structure_findings(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
 # --- rules of one table, in one pass ----------------------------------------------------------
 
 
-def _finding(check: str, column: str, case: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), case.cast("string").alias("failure_case")
-    )
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _batch_values(batch: SourceTables) -> dict[str, str]:
+    lists = {name: ", ".join(map(_text, values)) for name, values in vars(batch.vocabulary).items()}
+    return {**lists, "start": f"DATE'{batch.start_date}'", "end": f"DATE'{batch.end_date}'"}
 
 
 @dataclass(frozen=True)
 class Judgement:
-    """One rule applied to one table: when it is broken, and the finding that results."""
+    """One rule applied to one table, in SQL: when it is broken, and the failing case."""
 
     check: str
     column: str
-    broken: Column
-    finding: Column
-
-
-def _judge(check: str, column: str, broken: Column, case: Column) -> Judgement:
-    return Judgement(check, column, F.coalesce(broken, F.lit(False)), _finding(check, column, case))
+    broken: str
+    case: str
+
+    @property
+    def finding(self) -> str:
+        return (
+            f"named_struct('check_name', {_text(self.check)}, 'column_name', {_text(self.column)}, "
+            f"'failure_case', CAST({self.case} AS STRING))"
+        )
 
 
 def row_rules(df: DataFrame, table: str, batch: SourceTables) -> list[Judgement]:
     """Every rule that needs nothing but the row itself."""
-    usable = {f.name for f in usable_fields(df, table)}
+    present, usable = set(df.columns), {f.name for f in usable_fields(df, table)}
+    values = _batch_values(batch)
     rules: list[Judgement] = []
     for spec in TABLES[table]:
-        if spec.name not in df.columns:
+        if spec.name not in present:
             continue
-        column = F.col(spec.name)
+        c = f"`{spec.name}`"
         if not spec.nullable:
-            rules.append(_judge("not_nullable", spec.name, column.isNull(), F.lit(None)))
+            rules.append(Judgement("not_nullable", spec.name, f"{c} IS NULL", "NULL"))
         if spec.kind == "date" and isinstance(df.schema[spec.name].dataType, T.StringType):
-            rules.append(_judge("date_type", spec.name, column.isNotNull(), column))
+            rules.append(Judgement("date_type", spec.name, f"{c} IS NOT NULL", c))
         for rule in VALUE_RULES:
             if rule.table == table and rule.column == spec.name:
                 if spec.name in usable:
-                    rules.append(_judge(rule.name, spec.name, ~rule.ok(column, batch), column))
+                    ok = rule.ok.format(c=c, **values)
+                    rules.append(Judgement(rule.name, spec.name, f"coalesce(NOT ({ok}), false)", c))
                 elif spec.kind in ("date", "timestamp"):
                     # A value that is no date at all lies in no date range.
-                    rules.append(_judge(rule.name, spec.name, column.isNotNull(), column))
-    complete = _complete_row(df)
+                    rules.append(Judgement(rule.name, spec.name, f"{c} IS NOT NULL", c))
     for pair in ORDERED_PAIRS:
         if pair.table == table and {pair.low, pair.high} <= usable:
-            broken = (F.col(pair.low) > F.col(pair.high)) & complete
-            case = F.concat_ws(", ", _shown(pair.low), _shown(pair.high))
-            rules.append(_judge(pair.name, f"{pair.low},{pair.high}", broken, case))
+            broken = f"coalesce(`{pair.low}` > `{pair.high}`, false) AND {_complete_row(df)}"
+            case = f"concat('{pair.low}=', `{pair.low}`, ', {pair.high}=', `{pair.high}`)"
+            rules.append(Judgement(pair.name, f"{pair.low},{pair.high}", broken, case))
     return rules
 
 
-def _complete_row(df: DataFrame) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in df.columns if n != SOURCE_ROW])
+def _complete_row(df: DataFrame) -> str:
+    return " AND ".join(f"`{n}` IS NOT NULL" for n in df.columns if n != SOURCE_ROW)
 
 
-def _shown(column: str, quote: bool = False) -> Column:
-    text = F.col(column).cast("string")
-    return F.concat(F.lit(f"{column}="), F.concat(F.lit("'"), text, F.lit("'")) if quote else text)
+def broken_rules(df: DataFrame, rules: list[Judgement]) -> DataFrame:
+    """Findings of all rules in one pass; only offending rows build any."""
+    any_broken = " OR ".join(f"({rule.broken})" for rule in rules) or "false"
+    listed = ", ".join(f"if({rule.broken}, {rule.finding}, NULL)" for rule in rules)
+    listed = listed or Judgement("", "", "", "NULL").finding
+    return df.where(any_broken).selectExpr(f"{SOURCE_ROW} AS source_row", f"inline(array_compact(array({listed})))")
 
 
 def row_findings(df: DataFrame, table: str, batch: SourceTables) -> DataFrame:
-    """All row-local rules of a table in one scan; only offending rows build findings."""
-    rules = row_rules(df, table, batch)
-    if not rules:
-        return df.limit(0).select(
-            F.lit(None).cast("bigint").alias("source_row"), F.inline(F.array(_finding("", "", F.lit(None))))
-        )
-    any_broken = reduce(lambda a, b: a | b, [rule.broken for rule in rules])
-    listed = F.array_compact(F.array(*[F.when(rule.broken, rule.finding) for rule in rules]))
-    return df.where(any_broken).select(F.col(SOURCE_ROW).alias("source_row"), F.inline(listed))
+    """All row-local rules of a table in one scan."""
+    return broken_rules(df, row_rules(df, table, batch))
 
 
 def rule_counts(batch: SourceTables, wanted: Callable[[str], bool]) -> DataFrame:
@@ -249,19 +239,14 @@ def rule_counts(batch: SourceTables, wanted: Callable[[str], bool]) -> DataFrame
         if not rules:
             continue
         counts = df.agg(
-            F.count("*").alias("n"), *[F.count_if(rule.broken).alias(f"c{i}") for i, rule in enumerate(rules)]
+            F.count("*").alias("n"), *[F.expr(f"count_if({rule.broken}) AS c{i}") for i, rule in enumerate(rules)]
         )
-        rows = [
-            F.struct(
-                F.lit(table).alias("source_table"),
-                F.lit(rule.check).alias("check_name"),
-                F.lit(rule.column).alias("column_name"),
-                F.col("n").alias("checked_rows"),
-                F.col(f"c{i}").alias("failed_rows"),
-            )
+        rows = ", ".join(
+            f"named_struct('source_table', '{table}', 'check_name', '{rule.check}', 'column_name', '{rule.column}', "
+            f"'checked_rows', n, 'failed_rows', c{i})"
             for i, rule in enumerate(rules)
-        ]
-        parts.append(counts.select(F.inline(F.array(*rows))))
+        )
+        parts.append(counts.selectExpr(f"inline(array({rows}))"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -280,21 +265,16 @@ def rows_with_repeated_key(df: DataFrame, key: str) -> DataFrame:
 
 def uniqueness_findings(df: DataFrame, key: str) -> DataFrame:
     """Every copy of a repeated, non-NULL key."""
-    keyed = df.select(F.col(key).cast("string").alias(key), SOURCE_ROW).where(F.col(key).isNotNull())
-    return rows_with_repeated_key(keyed, key).select(
-        F.col(SOURCE_ROW).alias("source_row"),
-        F.inline(F.array(_finding("field_uniqueness", key, F.col(key)))),
-    )
+    keyed = df.selectExpr(f"CAST(`{key}` AS STRING) AS `{key}`", SOURCE_ROW).where(f"`{key}` IS NOT NULL")
+    return broken_rules(rows_with_repeated_key(keyed, key), [Judgement("field_uniqueness", key, "true", f"`{key}`")])
 
 
 def foreign_key_findings(batch: SourceTables, fk: ForeignKey) -> DataFrame:
     """Child rows whose key is absent from the parents of the same batch, valid or not."""
-    child = batch[fk.table].select(fk.column, SOURCE_ROW).where(F.col(fk.column).isNotNull())
-    parent = batch[fk.parent].select(F.col(fk.parent_key).alias(fk.column))
-    return child.join(parent, fk.column, "left_anti").select(
-        F.col(SOURCE_ROW).alias("source_row"),
-        F.inline(F.array(_finding(fk.name, fk.column, F.col(fk.column)))),
-    )
+    child = batch[fk.table].select(fk.column, SOURCE_ROW).where(f"`{fk.column}` IS NOT NULL")
+    parent = batch[fk.parent].selectExpr(f"`{fk.parent_key}` AS `{fk.column}`")
+    orphans = child.join(parent, fk.column, "left_anti")
+    return broken_rules(orphans, [Judgement(fk.name, fk.column, "true", f"`{fk.column}`")])
 
 
 def _is_unique(df: DataFrame, key: str) -> Column:
@@ -303,9 +283,9 @@ def _is_unique(df: DataFrame, key: str) -> Column:
     return worst.scalar() <= 1
 
 
-def _line_rule(check: str, value: str, ok: Column) -> tuple[Column, Column]:
-    case = F.concat_ws(", ", _shown(value), _shown("line_id", quote=True))
-    return ~F.coalesce(ok, F.lit(False)), _finding(check, f"{value},line_id", case)
+def _line_rule(check: str, value: str, ok: str) -> Judgement:
+    case = f"concat('{value}=', {value}, ', line_id=\\'', line_id, '\\'')"
+    return Judgement(check, f"{value},line_id", f"NOT coalesce({ok}, false)", case)
 
 
 def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = True) -> DataFrame:
@@ -317,26 +297,21 @@ def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = Tr
     """
     values = ["returned_quantity"] * quantity + ["return_date"] * dates
     ordered = ["quantity"] * quantity + ["order_id"] * dates
-    returns = batch.returns.where(_complete_row(batch.returns) & _is_unique(batch.order_items, "line_id"))
-    looked_up = returns.select("line_id", SOURCE_ROW, *values).join(
+    complete = batch.returns.where(_complete_row(batch.returns)).where(_is_unique(batch.order_items, "line_id"))
+    looked_up = complete.select("line_id", SOURCE_ROW, *values).join(
         batch.order_items.select("line_id", *ordered), "line_id", "left"
     )
     rules = []
     if quantity:
-        rules.append(
-            _line_rule("returned_quantity_lte_ordered", "returned_quantity", F.col("returned_quantity") <= F.col("quantity"))
-        )
+        rules.append(_line_rule("returned_quantity_lte_ordered", "returned_quantity", "returned_quantity <= quantity"))
     if dates:
         orders_unique = _is_unique(batch.orders, "order_id")
-        days = batch.orders.select("order_id", F.col("order_timestamp").cast("date").alias("_ordered_on"))
-        looked_up = looked_up.join(days.where(orders_unique), "order_id", "left").withColumn("_judge_dates", orders_unique)
-        late, finding = _line_rule(
-            "return_date_on_or_after_order", "return_date", F.col("return_date") >= F.col("_ordered_on")
+        days = batch.orders.selectExpr("order_id", "CAST(order_timestamp AS DATE) AS _ordered_on").where(orders_unique)
+        looked_up = looked_up.join(days, "order_id", "left").withColumn("_judged", orders_unique)
+        rules.append(
+            _line_rule("return_date_on_or_after_order", "return_date", "NOT _judged OR return_date >= _ordered_on")
         )
-        rules.append((late & F.col("_judge_dates"), finding))
-    any_broken = reduce(lambda x, y: x | y, [broken for broken, _ in rules])
-    listed = F.array_compact(F.array(*[F.when(broken, finding) for broken, finding in rules]))
-    return looked_up.where(any_broken).select(F.col(SOURCE_ROW).alias("source_row"), F.inline(listed))
+    return broken_rules(looked_up, rules)
 
 
 def _has(batch: SourceTables, table: str, *columns: str) -> bool:

@@ -148,10 +148,9 @@ def lookup_where(
     ``spread`` column, which never matches: should the table be too large to broadcast, they
     scatter over all partitions instead of piling up on NULL or on popular keys.
     """
-    wanted = F.coalesce(needed, F.lit(False)) & F.col(key).isNotNull()
-    elsewhere = (F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD)) + 1).cast("string")
-    own = F.when(wanted, F.concat(F.lit("0|"), F.col(key))).otherwise(F.concat(elsewhere, F.lit("|")))
-    side = table.select(F.concat(F.lit("0|"), F.col(key)).alias("_wanted"), F.col(value).alias(alias))
+    elsewhere = F.expr(f"concat(pmod(xxhash64(`{spread}`), {NULL_SPREAD}) + 1, '|')")
+    own = F.when(needed & F.col(key).isNotNull(), F.expr(f"concat('0|', `{key}`)")).otherwise(elsewhere)
+    side = table.selectExpr(f"concat('0|', `{key}`) AS _wanted", f"`{value}` AS `{alias}`")
     return df.withColumn("_wanted", own).join(side, "_wanted", "left").drop("_wanted")
 
 
@@ -172,9 +171,9 @@ def attach_group_value(
     the shuffled join for the others.
     """
     is_hot = F.col(size) > _hot_limit(df, rows)
-    hot = groups.where(is_hot).select(F.col(key).alias("_hot_key"), F.col(value).alias("_hot_value"))
+    hot = groups.where(is_hot).selectExpr(f"`{key}` AS _hot_key", f"`{value}` AS _hot_value")
     marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     cold = groups.where(~is_hot).select(key, value)
-    looked_up = lookup_where(marked, F.col("_hot_key").isNull(), key, cold, value, "_cold_value", spread)
-    found = F.when(F.col("_hot_key").isNotNull(), F.col("_hot_value")).otherwise(F.col("_cold_value"))
+    looked_up = lookup_where(marked, F.expr("_hot_key IS NULL"), key, cold, value, "_cold_value", spread)
+    found = F.expr("if(_hot_key IS NOT NULL, _hot_value, _cold_value)")
     return looked_up.withColumn(value, found).drop("_hot_key", "_hot_value", "_cold_value")

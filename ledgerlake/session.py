@@ -20,6 +20,11 @@ RUNTIME_CONF = {
 }
 
 
+# Fixed when a session starts. Plans here are built from many small expressions; recording the
+# Python line of each one costs more than building it.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(
     app_name: str = "ledgerlake",
     master: str | None = None,
@@ -28,7 +33,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import season
+from ledgerlake.functions.exprs import date_key, season
 from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW, SourceTables, Vocabulary
 from ledgerlake.sources.readers import read_parquet
 
@@ -32,8 +32,7 @@ def _cents(column: str) -> Column:
 
 
 def _line_parts() -> list:
-    day = F.date_format("l_shipdate", "yyyyMMdd")
-    return ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day]
+    return ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", date_key(F.col("l_shipdate"))]
 
 
 def _in_campaign(day: Column) -> Column:
