@@ -14,8 +14,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more (pre-aggregated) shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Tables up to this size on disk are broadcast; Spark checks the size, larger ones shuffle.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.session.timeZone": "UTC",
 }
 
