@@ -294,23 +294,26 @@ def _fact_totals(sales: DataFrame, returns: DataFrame) -> DataFrame:
 
 
 def _expected(sales: DataFrame, returns: DataFrame, *keys: str) -> DataFrame:
-    """Orders (or order products) not fully returned, derived from the facts alone."""
-    sold = sales.groupBy(*keys).agg(
-        F.max("customer_id").alias("e_customer_id"),
-        F.sum("ordered_quantity").alias("e_ordered_quantity"),
-        F.sum("net_sales").cast(MONEY).alias("e_net_sales"),
+    """Orders (or order products) not fully returned, derived from the facts alone.
+
+    The customer is a grouping column: as an aggregate, text would force a sort of all lines. An
+    order with two customers would show as two rows, and fail the comparison."""
+    groups = [*keys, "customer_id"]
+    sold = sales.groupBy(*groups).agg(
+        F.sum("ordered_quantity").alias("e_ordered_quantity"), F.sum("net_sales").cast(MONEY).alias("e_net_sales")
     )
-    back = returns.groupBy(*keys).agg(
+    back = returns.groupBy(*groups).agg(
         F.sum("returned_quantity").alias("e_returned_quantity"),
         F.sum("returned_revenue").cast(MONEY).alias("e_returned_revenue"),
     )
-    filled = sold.join(back, list(keys), "left").withColumns(
+    filled = sold.join(back, groups, "left").withColumns(
         {
             "e_returned_quantity": F.coalesce("e_returned_quantity", F.lit(0)),
             "e_returned_revenue": F.coalesce(F.col("e_returned_revenue"), F.lit(0).cast(MONEY)),
         }
     )
-    return filled.where(F.col("e_ordered_quantity") > F.col("e_returned_quantity"))
+    kept = filled.where(F.col("e_ordered_quantity") > F.col("e_returned_quantity"))
+    return kept.withColumnRenamed("customer_id", "e_customer_id")
 
 
 def _compare_rows(expected: DataFrame, actual: DataFrame, name: str, keys: list[str], left_over: str) -> DataFrame:
