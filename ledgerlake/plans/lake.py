@@ -92,6 +92,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._bronze_schemas: dict[str, T.StructType] = {}
 
     # --- paths ---------------------------------------------------------------------------------
 
@@ -131,9 +132,16 @@ class Lake:
         latest = F.max_by(F.struct(*others), F.struct(rank.alias("rank"), F.col("completed_at")))
         return self.run_states().groupBy("load_id").agg(latest.alias("s")).select("load_id", "s.*")
 
+    def succeeded(self) -> list[str]:
+        """Ids of the loads that readers may see: one audit row per load."""
+        return [r["load_id"] for r in self.runs().where("status = 'succeeded'").select("load_id").collect()]
+
     def failures(self, load_id: str | None = None) -> DataFrame:
+        """Findings of one load, or of all succeeded loads."""
         found = self.spark.read.schema(FAILURE_SCHEMA).parquet(self._failures_path)
-        return found if load_id is None else conform.of_load(found, load_id)
+        if load_id is None:
+            return found.where(F.col("load_id").isin(self.succeeded()))
+        return conform.of_load(found, load_id)
 
     def current_load_id(self) -> str:
         row = conform.current_load(self.runs()).first()
@@ -149,18 +157,25 @@ class Lake:
     # --- bronze --------------------------------------------------------------------------------
 
     def bronze_schema(self, table: str) -> T.StructType | None:
-        """Schema fixed by the first load of a table; None before it."""
-        path = self.path("bronze", table)
-        if not self.exists(path):
-            return None
-        found = self.spark.read.option("recursiveFileLookup", True).parquet(path).schema
-        return T.StructType([*found.fields, T.StructField("_load_id", T.StringType())])
+        """Schema fixed by the first succeeded load; None before it."""
+        if table not in self._bronze_schemas:
+            visible = self.succeeded()
+            if not visible:
+                return None
+            found = self.spark.read.parquet(self.path("bronze", table, f"_load_id={visible[0]}")).schema
+            self._bronze_schemas[table] = T.StructType([*found.fields, T.StructField("_load_id", T.StringType())])
+        return self._bronze_schemas[table]
 
     def bronze(self, table: str, load_id: str | None = None) -> DataFrame:
+        """Rows of one load, or of all succeeded loads; either way only their folders are read."""
         df = self.spark.read.schema(self.bronze_schema(table)).parquet(self.path("bronze", table))
-        return df if load_id is None else conform.of_load(df, load_id)
+        if load_id is None:
+            return df.where(F.col("_load_id").isin(self.succeeded()))
+        return conform.of_load(df, load_id)
 
-    def _append_bronze(self, table: str, source: DataFrame, load_id: str, at: datetime) -> None:
+    def _append_bronze(
+        self, table: str, source: DataFrame, load_id: str, at: datetime, target: T.StructType | None
+    ) -> None:
         """Append by name. A column the table does not have, or has with another type, is an error."""
         batch = source.select(
             *[c for c in source.columns if c != SOURCE_ROW],
@@ -168,7 +183,6 @@ class Lake:
             F.col(SOURCE_ROW).cast("bigint"),
             F.lit(at).cast("timestamp_ntz").alias("_ingested_at"),
         )
-        target = self.bronze_schema(table)
         if target is not None:
             known = {f.name: f.dataType for f in target if f.name != "_load_id"}
             for column in batch.schema:
@@ -210,9 +224,10 @@ class Lake:
             outcome = self._summary(load_id, fingerprint, "succeeded", summarize(batch, self.failures(load_id)))
             counted = {c: getattr(outcome, c) for c in counted}
             self._record(**run, **counted, status="running")
+            targets = {t: self.bronze_schema(t) for t in SOURCE_TABLES} if self.succeeded() else {}
             # Independent writes overlap: the tail of one leaves cores for the next.
             with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
-                writes = [pool.submit(self._append_bronze, t, batch[t], load_id, started) for t in SOURCE_TABLES]
+                writes = [pool.submit(self._append_bronze, t, batch[t], load_id, started, targets.get(t)) for t in SOURCE_TABLES]
             for write in writes:
                 write.result()
         except Exception as error:

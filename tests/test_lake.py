@@ -112,6 +112,23 @@ def test_failed_load_is_recorded_and_invisible(spark, data, lake):
     assert "returned_quantity" in runs["load-b"]["error_summary"]
     assert runs["load-b"]["valid_row_count"] == 0
     assert lake.current_load_id() == "load-a"
+    assert lake.bronze("orders").count() == 6
+    assert {r["load_id"] for r in lake.failures().collect()} <= {"load-a"}
+
+
+def test_failed_first_load_does_not_fix_the_schema(spark, data, lake, monkeypatch):
+    def fail(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake, "_write_failures", fail)
+        with pytest.raises(OSError, match="disk full"):
+            load(lake, make_batch(spark, data), "load-a")
+    assert lake.bronze_schema("orders") is None
+    with pytest.raises(ValueError, match="already used"):
+        load(lake, make_batch(spark, data), "load-a")
+    assert load(lake, make_batch(spark, data), "load-b").status == "succeeded"
+    assert lake.bronze("orders").count() == 6
 
 
 def test_empty_table_is_typed_and_takes_later_rows(spark, data, lake):
