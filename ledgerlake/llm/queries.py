@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import quality
+from ledgerlake.llm import lines, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registered() -> dict[str, Query]:
     found = [
         quality.op2_quality_rules,
+        lines.op6_line_dedup,
     ]
     return {f.__name__: f for f in found}
 
@@ -21,4 +22,5 @@ def registered() -> dict[str, Query]:
 def statements() -> dict[str, str]:
     return {
         "op2_quality_rules": quality.SQL,
+        "op6_line_dedup": lines.SQL,
     }
