@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import lines, quality
+from ledgerlake.llm import lines, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def registered() -> dict[str, Query]:
     found = [
         quality.op2_quality_rules,
         lines.op6_line_dedup,
+        substrings.op9_substring_dedup,
     ]
     return {f.__name__: f for f in found}
 
@@ -23,4 +24,5 @@ def statements() -> dict[str, str]:
     return {
         "op2_quality_rules": quality.SQL,
         "op6_line_dedup": lines.SQL,
+        "op9_substring_dedup": substrings.SQL,
     }

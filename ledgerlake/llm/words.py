@@ -103,6 +103,19 @@ class Words:
         at = np.arange(len(self.starts))
         return at[at + size <= self.first[self.row + 1]]
 
+    def joined(self, keep: np.ndarray) -> pa.Array:
+        """The kept words of each text, joined by one space."""
+        starts, row = self.starts[keep], self.row[keep]
+        sizes = self.ends[keep] - starts
+        last = np.diff(row, append=-1) != 0
+        room = sizes + ~last
+        offsets = np.concatenate(([0], np.cumsum(room)))
+        data = np.full(offsets[-1], 32, np.uint8)
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        data[np.repeat(offsets[:-1], sizes) + within] = self.text.data[np.repeat(starts, sizes) + within]
+        ends = offsets[np.searchsorted(row, np.arange(len(self.first)))]
+        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+
 
 @dataclass
 class Lines:
