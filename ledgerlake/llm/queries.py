@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import lines, quality, substrings
+from ledgerlake.llm import lines, minhash, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def registered() -> dict[str, Query]:
     found = [
         quality.op2_quality_rules,
         lines.op6_line_dedup,
+        minhash.op7_minhash_near_dedup,
         substrings.op9_substring_dedup,
     ]
     return {f.__name__: f for f in found}
