@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import lines, minhash, quality, substrings
+from ledgerlake.llm import decontaminate, lines, minhash, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
     found = [
+        decontaminate.op1_benchmark_decontamination,
         quality.op2_quality_rules,
         lines.op6_line_dedup,
         minhash.op7_minhash_near_dedup,
@@ -23,6 +24,7 @@ def registered() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     return {
+        "op1_benchmark_decontamination": decontaminate.SQL,
         "op2_quality_rules": quality.SQL,
         "op6_line_dedup": lines.SQL,
         "op9_substring_dedup": substrings.SQL,
