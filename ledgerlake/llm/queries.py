@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, lines, minhash, quality, substrings
+from ledgerlake.llm import decontaminate, lines, minhash, mixing, quality, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def registered() -> dict[str, Query]:
     found = [
         decontaminate.op1_benchmark_decontamination,
         quality.op2_quality_rules,
+        urls.op3_url_filters,
+        mixing.op5_mixing,
         lines.op6_line_dedup,
         minhash.op7_minhash_near_dedup,
         substrings.op9_substring_dedup,
@@ -26,6 +28,7 @@ def statements() -> dict[str, str]:
     return {
         "op1_benchmark_decontamination": decontaminate.SQL,
         "op2_quality_rules": quality.SQL,
+        "op3_url_filters": urls.SQL,
         "op6_line_dedup": lines.SQL,
         "op9_substring_dedup": substrings.SQL,
     }

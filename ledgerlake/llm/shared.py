@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.session import work_dir
@@ -73,3 +73,22 @@ def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         held += n
     if begin < batch.num_rows:
         yield batch.slice(begin)
+
+
+def before(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``amount`` over all rows that come earlier in this order.
+
+    Rows are dealt out by ranges of the order and sorted there, so no task sees more than its range. One sum per range, as many
+    as there are partitions, gives each range its beginning.
+    """
+    part, row = f"_{name}_part", f"_{name}_row"
+    dealt = df.withColumn(name, amount).repartitionByRange(_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    dealt = written(dealt.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()}))
+    sums = dealt.groupBy(part).agg(F.sum(name).alias("_sum"))
+    begins = sums.select(F.col(part), (F.sum("_sum").over(Window.orderBy(part)) - F.col("_sum")).alias("_begin"))
+    running = F.sum(name).over(Window.partitionBy(part).orderBy(row).rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.join(F.broadcast(begins), part).withColumn(name, F.col("_begin") + running - F.col(name)).drop(part, row, "_begin")
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
