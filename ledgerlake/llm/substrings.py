@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import bloom
-from ledgerlake.llm.shared import documents, map_arrow, row_tag, written
+from ledgerlake.llm.shared import documents, map_arrow, pieces, row_tag, small_batches, written
 from ledgerlake.llm.words import Text, Words, mix, span_hashes
 
 WINDOW = 50
@@ -118,36 +119,128 @@ def shared_filter(docs: DataFrame) -> np.ndarray:
     return bloom.merged(names.mapInArrow(fill, bloom.BLOCKS), "once", bits)
 
 
+#: Windows a task gathers before it sets aside those it knows to be repeats.
+FLUSH_WINDOWS = 1 << 20
+_PLACED = "part int, key bigint, more int, id bigint, tag int, at int, ats array<int>"
+
+
 def candidate_windows(docs: DataFrame) -> DataFrame:
-    """Windows whose anchor is shared: id, tag, number of the first word, and the hash of the words in two columns."""
-    field = docs.sparkSession.sparkContext.broadcast(shared_filter(docs))
+    """Windows whose anchor is shared: part (of the anchor), hash of the words in two columns, id, tag, number of the first word.
 
-    def step(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words, hashes = _words(piece.column("text"))
-        begin, _, names = window_anchors(words, hashes)
-        begin = begin[bloom.contains(field.value, names)]
-        key = span_hashes(hashes, begin, begin + WINDOW)
-        more = span_hashes(hashes, begin, begin + WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)
-        row = words.row[begin]
-        columns = [
-            *(piece.column(c).take(pa.array(row)) for c in ("id", "tag")),
-            pa.array((begin - words.first[row]).astype(np.int32)),
-            pa.array(key.view(np.int64)),
-            pa.array(more.astype(np.uint32).view(np.int32)),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "tag", "at", "key", "more"])
-
-    return map_arrow(docs.select("id", "tag", "text"), step, "id bigint, tag int, at int, key bigint, more int")
+    Where a task holds a window in several documents, only the smallest goes on as such a row; of the others it is already
+    known that they go, and one row per document carries their places in ``ats``.
+    """
+    field = docs.sparkSession.sparkContext.broadcast(shared_filter(docs))
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for piece in (p for batch in batches for p in pieces(batch, "text")):
+            held.append(_found(piece, field.value))
+            size += len(held[-1][0])
+            if size >= FLUSH_WINDOWS:
+                yield from _reduced(held)
+                held, size = [], 0
+        yield from _reduced(held)
+
+    return docs.select("id", "tag", "text").mapInArrow(run, _PLACED)
+
+
+def _found(piece: pa.RecordBatch, field: np.ndarray) -> tuple[np.ndarray, ...]:
+    words, hashes = _words(piece.column("text"))
+    begin, _, names = window_anchors(words, hashes)
+    shared = bloom.contains(field, names)
+    begin, part = begin[shared], (names[shared] & np.uint64(0xFFFFF)).astype(np.int32)
+    key = span_hashes(hashes, begin, begin + WINDOW).view(np.int64)
+    more = (span_hashes(hashes, begin, begin + WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    row = words.row[begin]
+    ids, tags = (piece.column(c).to_numpy()[row] for c in ("id", "tag"))
+    return part, key, more, ids, tags, (begin - words.first[row]).astype(np.int32)
+
+
+def _reduced(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    if not held:
+        return
+    part, key, more, ids, tags, at = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((ids, more, key))
+    later = np.zeros(len(order), bool)
+    later[order] = ids[order] > _first_id(key[order], more[order], ids[order])
+    first = ~later
+    n = int(first.sum())
+    rows = [part[first], key[first], more[first], ids[first], tags[first], at[first]]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.nulls(n, pa.list_(pa.int32()))], names=_names(_PLACED))
+    known_ids, known_tags, ats = _by_document(ids[later], tags[later], at[later])
+    n = len(known_ids)
+    spread = (mix(known_ids.view(np.uint64)) & np.uint64(0xFFFFF)).astype(np.int32)
+    rows = [spread, np.zeros(n, np.int64), np.zeros(n, np.int32), known_ids, known_tags, np.zeros(n, np.int32)]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, rows), ats], names=_names(_PLACED))
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def _first_id(key: np.ndarray, more: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The id of the first row of each row's window; rows come sorted."""
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1])
+    return ids[np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))] if len(key) else ids
+
+
+def _by_document(ids: np.ndarray, tags: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    order = np.lexsort((at, tags, ids))
+    ids, tags, at = ids[order], tags[order], at[order]
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+    begin = np.flatnonzero(fresh)
+    offsets = np.concatenate((begin, [len(ids)])).astype(np.int32)
+    return ids[begin], tags[begin], pa.ListArray.from_arrays(pa.array(offsets), pa.array(at))
+
+
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """i, t and places of windows that a smaller document holds.
+
+    Equal windows have one anchor, so they meet in one partition; sorted, the first row of a window has its smallest id, and one pass
+    needs no memory for a group. A task has sent a window once for each FLUSH_WINDOWS of its own, however many of its documents hold it.
+    """
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, size = None, [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= FLUSH_WINDOWS // 8:
+                last = yield from decide(held, last)
+                held, size = [], 0
+        yield from decide(held, last)
+
+    def decide(held: list[pa.RecordBatch], last: tuple | None) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return last
+        table = pa.Table.from_batches(held).combine_chunks()
+        known = table.column("ats").is_valid()
+        rows = table.filter(known)
+        yield from rows.select(["id", "tag", "ats"]).rename_columns(["i", "t", "ats"]).to_batches()
+        rows = table.filter(pc.invert(known))
+        key, more, ids, tags, at = (rows.column(c).to_numpy() for c in ("key", "more", "id", "tag", "at"))
+        if not len(key):
+            return last
+        low = _first_id(key, more, ids)
+        if last:
+            low = np.where((key == last[0]) & (more == last[1]), last[2], low)
+        later = low < ids
+        found = _by_document(ids[later], tags[later], at[later])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, found[:2]), found[2]], names=["i", "t", "ats"])
+        return key[-1], more[-1], low[-1]
+
+    dealt = windows.repartition("part").sortWithinPartitions("part", "key", "more", "id")
+    return dealt.mapInArrow(judge, "i bigint, t int, ats array<int>")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, and the text of the words that are kept."""
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), row_tag().alias("tag"), "text")
-    windows = written(candidate_windows(docs))
-    # Minima are formed map-side first and written, so that the join with a passage of very many documents can be split.
-    held = written(windows.groupBy("key", "more").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "more", "low"))
-    later = windows.join(held, ["key", "more"]).where("low < id")
-    gone = later.groupBy(F.col("id").alias("i"), F.col("tag").alias("t")).agg(F.collect_set("at").alias("gone"))
+    gone = repeated_windows(candidate_windows(docs)).groupBy("i", "t").agg(F.flatten(F.collect_list("ats")).alias("gone"))
     met = docs.join(gone, (docs.id == gone.i) & (docs.tag == gone.t), "left").select("doc_id", "text", "gone")
     kind = dict(docs.dtypes)["doc_id"]
     return map_arrow(met, _rewrite, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_text string")
