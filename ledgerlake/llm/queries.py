@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, lines, minhash, mixing, quality, substrings, urls
+from ledgerlake.llm import decontaminate, lines, minhash, mixing, quality, substrings, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def registered() -> dict[str, Query]:
         decontaminate.op1_benchmark_decontamination,
         quality.op2_quality_rules,
         urls.op3_url_filters,
+        tokens.op4_token_output,
         mixing.op5_mixing,
         lines.op6_line_dedup,
         minhash.op7_minhash_near_dedup,
