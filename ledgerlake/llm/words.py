@@ -81,8 +81,9 @@ class Words:
     first: np.ndarray
 
     @classmethod
-    def of(cls, text: Text) -> Words:
-        solid = ~_SPACE[text.data]
+    def of(cls, text: Text, separator: np.ndarray = _SPACE) -> Words:
+        """``separator``: for each byte, whether it stands between words."""
+        solid = ~separator[text.data]
         edge = np.zeros(len(solid) + 1, bool)
         edge[text.offsets] = True
         before = np.concatenate(([False], solid[:-1])) & ~edge[:-1]
