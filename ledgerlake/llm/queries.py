@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, langid, lines, minhash, mixing, quality, substrings, tokens, urls
+from ledgerlake.llm import decontaminate, langid, licenses, lines, minhash, mixing, quality, substrings, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def registered() -> dict[str, Query]:
         minhash.op7_minhash_near_dedup,
         langid.op8_language_id,
         substrings.op9_substring_dedup,
+        licenses.op10_license_scan,
     ]
     return {f.__name__: f for f in found}
 
