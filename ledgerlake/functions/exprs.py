@@ -32,14 +32,6 @@ def date_key(column: Column) -> Column:
     return (F.year(column) * 10000 + F.month(column) * 100 + F.dayofmonth(column)).cast("bigint")
 
 
-def date_of_key(column: Column) -> Column:
-    return F.make_date(
-        (column / 10000).cast("int"),
-        ((column / 100).cast("bigint") % 100).cast("int"),
-        (column % 100).cast("int"),
-    )
-
-
 def week_start(column: Column) -> Column:
     """Monday of the ISO week."""
     return F.trunc(column, "week")

@@ -18,8 +18,9 @@ from ledgerlake.operators.groups import HOT_GROUP_ROWS, exact_median, fill_from_
 from ledgerlake.schemas import FLAT_COLUMNS, PAYMENT_METHODS, PRODUCT_CATEGORIES, SOURCE_ROW
 
 UNKNOWN = "Unknown"
-PRICE = "decimal(18,4)"
-RATE = "decimal(9,4)"
+# Sheet prices and rates keep twelve places; only money is rounded.
+PRICE = "decimal(24,12)"
+SHEET_RATE = "decimal(14,12)"
 
 # Writes a named intermediate table and returns it re-read; the default keeps the lazy plan.
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -211,7 +212,7 @@ def postconditions(clean: DataFrame, rules: CleaningRules) -> DataFrame:
         F.count_if(F.col("Unit_Price_USD") <= 0).alias("Invalid prices remain"),
         F.count_if(~F.col("Discount_Rate").between(0, 1)).alias("Invalid discounts remain"),
         F.count_if(~year.between(rules.first_year, rules.last_year)).alias("Invalid dates remain"),
-        F.count_if(~F.col("Category").eqNullSafe(F.col("_approved"))).alias("Product/category mismatches remain"),
+        F.count_if(F.coalesce(F.col("Category") != F.col("_approved"), F.lit(True))).alias("Product/category mismatches remain"),
     )
     rows = clean.groupBy(*FLAT_COLUMNS).agg((F.count("*") - 1).alias("n"))
     lines = clean.groupBy("Order_Line_ID").agg((F.count("*") - 1).alias("n"))

@@ -104,7 +104,14 @@ def running_counts(counts: DataFrame, key: str, value: str) -> DataFrame:
     """
     number = F.col(value).cast("double")
     magnitude = lambda x: F.floor(F.ln(x) * _BUCKETS_PER_E) + _ZERO_OFFSET
-    bucket = F.when(number > 0, magnitude(number)).when(number < 0, -magnitude(-number)).otherwise(F.lit(0))
+    outermost = F.lit(2 * _ZERO_OFFSET)
+    bucket = (
+        F.when(number == float("inf"), outermost)
+        .when(number == float("-inf"), -outermost)
+        .when(number > 0, magnitude(number))
+        .when(number < 0, -magnitude(-number))
+        .otherwise(F.lit(0))
+    )
     placed = counts.withColumn("_bucket", bucket.cast("bigint"))
     buckets = Window.partitionBy(key).orderBy("_bucket")
     starts = (

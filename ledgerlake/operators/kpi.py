@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import MONEY, RATE, money
-from ledgerlake.operators.cleaning import UNKNOWN
+from ledgerlake.functions.exprs import MONEY, money
+from ledgerlake.operators.cleaning import SHEET_RATE, UNKNOWN
 
 GROUPINGS = {
     "Product_Analysis": ("Product", "Category"),
@@ -24,8 +24,8 @@ def add_calculated_columns(clean: DataFrame) -> DataFrame:
     """Row-level money, rounded at each step, and calendar columns."""
     gross, discount = F.col("Gross_Sales_USD"), F.col("Discount_Amount_USD")
     return (
-        clean.withColumn("Gross_Sales_USD", money(F.col("Quantity") * F.col("Unit_Price_USD")))
-        .withColumn("Discount_Amount_USD", money(gross * F.col("Discount_Rate").cast(RATE)))
+        clean.withColumn("Gross_Sales_USD", money(F.col("Quantity").cast("decimal(12,0)") * F.col("Unit_Price_USD")))
+        .withColumn("Discount_Amount_USD", money(gross * F.col("Discount_Rate").cast(SHEET_RATE)))
         .withColumn("Net_Revenue_USD", (gross - discount).cast(MONEY))
         .withColumn("Year", F.year("Order_Date").cast("bigint"))
         .withColumn("Month", F.date_format("Order_Date", "yyyy-MM"))

@@ -47,7 +47,8 @@ def numeric_summary(df: DataFrame) -> DataFrame:
 
     A quartile interpolates between the values at two ranks of the ordered distinct values."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name != SOURCE_ROW]
-    tall = df.select([F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column_name", "value")
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # noqa: E731  NaN counts as missing
+    tall = df.select([number(c).alias(c) for c in numeric]).unpivot([], numeric, "column_name", "value")
     placed = running_counts(count_values(tall, "column_name", "value"), "column_name", "value")
 
     def quantile(fourths: int):
@@ -104,7 +105,7 @@ def quality_summary(df: DataFrame, rules: CleaningRules, cities: Sequence[str] |
         F.count_if(~F.coalesce(F.col("Discount_Rate").between(0, 1), F.lit(False))).alias("Discount rates outside 0-1"),
         F.count_if(when.isNull()).alias("Unparseable order dates"),
         F.count_if(~in_scope).alias("Dates outside scope"),
-        F.count_if(~F.col("Category").eqNullSafe(F.col("_approved"))).alias("Product/category mismatches"),
+        F.count_if(F.coalesce(F.col("Category") != F.col("_approved"), F.lit(True))).alias("Product/category mismatches"),
     )
 
     def extra_copies(keys: Sequence[str], name: str) -> DataFrame:

@@ -111,6 +111,11 @@ class Lake:
     def _failures_path(self) -> str:
         return self.path("audit", "validation_failures")
 
+    def _delete(self, paths: list[str]) -> None:
+        for path in paths:
+            hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
     def bootstrap(self) -> None:
         """Create the four areas and the two audit tables; harmless when repeated."""
         for area in AREAS:
@@ -132,15 +137,19 @@ class Lake:
         latest = F.max_by(F.struct(*others), F.struct(rank.alias("rank"), F.col("completed_at")))
         return self.run_states().groupBy("load_id").agg(latest.alias("s")).select("load_id", "s.*")
 
-    def succeeded(self) -> list[str]:
-        """Ids of the loads that readers may see: one audit row per load."""
-        return [r["load_id"] for r in self.runs().where("status = 'succeeded'").select("load_id").collect()]
+    def succeeded(self) -> DataFrame:
+        """Ids of the loads that readers may see, as ``load_id``."""
+        return self.runs().where("status = 'succeeded'").select("load_id")
+
+    def _one_succeeded(self) -> str | None:
+        row = self.succeeded().first()
+        return row["load_id"] if row else None
 
     def failures(self, load_id: str | None = None) -> DataFrame:
         """Findings of one load, or of all succeeded loads."""
         found = self.spark.read.schema(FAILURE_SCHEMA).parquet(self._failures_path)
         if load_id is None:
-            return found.where(F.col("load_id").isin(self.succeeded()))
+            return found.join(self.succeeded(), "load_id", "left_semi")
         return conform.of_load(found, load_id)
 
     def current_load_id(self) -> str:
@@ -159,10 +168,10 @@ class Lake:
     def bronze_schema(self, table: str) -> T.StructType | None:
         """Schema fixed by the first succeeded load; None before it."""
         if table not in self._bronze_schemas:
-            visible = self.succeeded()
-            if not visible:
+            visible = self._one_succeeded()
+            if visible is None:
                 return None
-            found = self.spark.read.parquet(self.path("bronze", table, f"_load_id={visible[0]}")).schema
+            found = self.spark.read.parquet(self.path("bronze", table, f"_load_id={visible}")).schema
             self._bronze_schemas[table] = T.StructType([*found.fields, T.StructField("_load_id", T.StringType())])
         return self._bronze_schemas[table]
 
@@ -170,7 +179,7 @@ class Lake:
         """Rows of one load, or of all succeeded loads; either way only their folders are read."""
         df = self.spark.read.schema(self.bronze_schema(table)).parquet(self.path("bronze", table))
         if load_id is None:
-            return df.where(F.col("_load_id").isin(self.succeeded()))
+            return df.join(self.succeeded().withColumnRenamed("load_id", "_load_id"), "_load_id", "left_semi").select(*df.columns)
         return conform.of_load(df, load_id)
 
     def _append_bronze(
@@ -210,9 +219,12 @@ class Lake:
             (F.col("load_id") == load_id)
             | ((F.col("source_manifest_hash") == fingerprint) & (F.col("status") == "succeeded"))
         )
-        known = [(r["load_id"], r["status"], r["source_manifest_hash"]) for r in known.limit(2).collect()]
-        if any(status == "succeeded" and seen == fingerprint for _, status, seen in known):
-            return self._summary(load_id, fingerprint, "skipped", summarize(batch, validation.findings))
+        known = known.limit(2).collect()
+        for run in known:
+            if run["status"] == "succeeded" and run["source_manifest_hash"] == fingerprint:
+                # The rules need not run again: the earlier load of this content has counted them.
+                rows = [run[f"{n}_row_count"] for n in ("source", "valid", "invalid")]
+                return IngestionSummary(load_id, fingerprint, "skipped", *rows, self.failures(run["load_id"]).count())
         if known:
             raise ValueError(f"load id already used: {load_id}")
 
@@ -224,7 +236,7 @@ class Lake:
             outcome = self._summary(load_id, fingerprint, "succeeded", summarize(batch, self.failures(load_id)))
             counted = {c: getattr(outcome, c) for c in counted}
             self._record(**run, **counted, status="running")
-            targets = {t: self.bronze_schema(t) for t in SOURCE_TABLES} if self.succeeded() else {}
+            targets = {t: self.bronze_schema(t) for t in SOURCE_TABLES}
             # Independent writes overlap: the tail of one leaves cores for the next.
             with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
                 writes = [pool.submit(self._append_bronze, t, batch[t], load_id, started, targets.get(t)) for t in SOURCE_TABLES]
@@ -234,6 +246,7 @@ class Lake:
             message = str(error) or type(error).__name__
             kept = {**counted, "valid_row_count": 0, "invalid_row_count": 0}
             self._record(**run, **kept, status="failed", completed_at=_now(), error_summary=message)
+            self._delete([self.path("bronze", t, f"_load_id={load_id}") for t in SOURCE_TABLES])
             raise
         self._record(**run, **counted, status="succeeded", completed_at=_now())
         return outcome

@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators import cleaning, contracts, fingerprint, kpi, profile, quality, signals
 from ledgerlake.plans import conform, gold
-from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW, SOURCE_TABLES
+from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW, SOURCE_TABLES, TABLES
 from ledgerlake.sources import shop_tables
 from ledgerlake.workbench import Workbench
 
 Query = Callable[[SparkSession, str], DataFrame]
+KEYS = {t: next(f.name for f in TABLES[t] if f.unique) for t in SOURCE_TABLES}
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -66,7 +67,10 @@ for _name, _wanted in _COUNTED.items():
 
 @query
 def contract_unique(w: Workbench) -> DataFrame:
-    return contracts.uniqueness_findings(shop_tables.pair_keyed_items(w.spark, w.folder), "line_id")
+    """The keys of all seven tables, and a line key of two parts that does repeat."""
+    own = [contracts.uniqueness_findings(w.batch[t], key).withColumn("source_table", F.lit(t)) for t, key in KEYS.items()]
+    pairs = contracts.uniqueness_findings(shop_tables.pair_keyed_items(w.spark, w.folder), "line_id")
+    return reduce(DataFrame.unionByName, [*own, pairs.withColumn("source_table", F.lit("order_items by pair"))])
 
 
 @query
@@ -100,8 +104,18 @@ def contract_summary(w: Workbench) -> DataFrame:
 
 @query
 def contract_accepted(w: Workbench) -> DataFrame:
-    """Accepted candidates of the table with the most findings."""
-    return contracts.accepted_rows(w.batch.returns, contracts.table_findings(w.batch, "returns"), "returns")
+    """Number and row numbers of the accepted candidates of each table."""
+    row = F.col(SOURCE_ROW).cast("decimal(38,0)")
+    parts = [
+        contracts.accepted_rows(w.batch[t], contracts.table_findings(w.batch, t), t).agg(
+            F.lit(t).alias("source_table"),
+            F.count("*").alias("accepted"),
+            F.sum(row).cast("bigint").alias("row_sum"),
+            F.sum(row * row % 1000003).cast("bigint").alias("row_digest"),
+        )
+        for t in SOURCE_TABLES
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,11 +54,20 @@ def work_dir(spark: SparkSession) -> str:
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="ledgerlake-")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="ledgerlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+# How ``fit_to_input`` cuts: bytes per shuffle partition, splits of a scan, and the bounds of one.
+PARTITION_BYTES = 64 << 20
+SPLITS = 100_000
+MIN_SPLIT, MAX_SPLIT = 128 << 20, 1 << 30
+
+
 def input_bytes(spark: SparkSession, path: str) -> int:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -73,8 +84,8 @@ def fit_to_input(spark: SparkSession, path: str) -> int:
     """
     size = input_bytes(spark, path)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(current, size // (64 << 20)), 100_000)
+    wanted = max(current, size // PARTITION_BYTES)
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    split = min(max(128 << 20, size // 100_000), 1 << 30)
+    split = min(max(MIN_SPLIT, size // SPLITS), MAX_SPLIT)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return wanted

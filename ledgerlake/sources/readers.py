@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import FLAT_SCHEMA, SOURCE_ROW
 
+# One row per file; lists of more files than this are joined by shuffle.
 BROADCAST_FILES = 100_000
-_PART_BITS = 33
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -44,43 +42,36 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], scratch: str) -> DataFrame:
-    """Add ``_source_row`` by rank over a unique key, for formats without row positions.
+def number_in_file_order(df: DataFrame, scratch: str) -> DataFrame:
+    """Add ``_source_row`` in the order of files and lines, for formats without row positions.
 
-    The range-sorted rows are written once, so that positions cannot change when a lost
-    executor makes Spark recompute a partition; offsets per partition are then added.
+    A task reads its splits from front to back, so ids that grow within a task keep the order of lines
+    within a split. The rows are written once with their split and id, which a lost executor cannot
+    change later; a split then starts where the earlier splits of its file, and earlier files, end.
     """
     (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_pos", F.monotonically_increasing_id())
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_pos"),
+        )
         .write.mode("errorifexists")
         .parquet(scratch)
     )
-    placed = df.sparkSession.read.parquet(scratch).select(
-        "*",
-        F.shiftright("_pos", _PART_BITS).alias("_part"),
-        F.col("_pos").bitwiseAND((1 << _PART_BITS) - 1).alias("_in_part"),
-    )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    # One row per shuffle partition, so the broadcast is bounded by the partition count.
+    placed = df.sparkSession.read.parquet(scratch)
+    # One row per split: the ordered window sees splits, never data rows.
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = placed.groupBy("_file", "_block").agg(F.count("*").alias("_rows"), F.min("_pos").alias("_first"))
+    starts = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(SOURCE_ROW, F.col("_start") + F.col("_in_part"))
-        .drop("_pos", "_part", "_in_part", "_start")
+        placed.join(starts, ["_file", "_block"])
+        .withColumn(SOURCE_ROW, F.col("_start") + F.col("_pos") - F.col("_first"))
+        .drop("_file", "_block", "_pos", "_first", "_start")
     )
 
 
 def read_flat_csv(spark: SparkSession, path: str, scratch: str) -> DataFrame:
-    """Raw order-line sheet from CSV with declared types; a missing path is an error."""
+    """Raw order-line sheet from CSV with declared types, rows numbered as they stand; a missing path is an error."""
     raw = spark.read.schema(FLAT_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
-    return number_rows(raw, FLAT_SCHEMA.fieldNames(), scratch)
-
-
-def read_flat_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path)
+    return number_in_file_order(raw, scratch)

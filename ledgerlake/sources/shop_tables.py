@@ -6,7 +6,7 @@ projection of a whole table; the only joins add names from parent tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import date_key, season
@@ -147,7 +147,7 @@ def promotions(spark, folder) -> DataFrame:
             F.make_date(year, F.lit(11), F.lit(15)).alias("start_date"),
             F.make_date(year, F.lit(12), F.lit(15)).alias("end_date"),
             F.lit(0.10).alias("discount_policy"),
-            (year - 1995).cast("bigint").alias(SOURCE_ROW),
+            (F.row_number().over(Window.orderBy("_year")) - 1).cast("bigint").alias(SOURCE_ROW)  # one row per year,
         )
     )
 
@@ -192,13 +192,17 @@ def pair_keyed_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def closed_batch(spark: SparkSession, folder: str) -> SourceTables:
-    """The batch as an export that was cut at its end date: later orders and later shipments
-    are not in it, so lines and returns may lack their parents."""
+    """The whole batch, with other keys for orders and shipments after its end date: every row is
+    there, and lines and returns that refer to them lack their parents."""
     batch = shop_batch(spark, folder)
-    shipped = F.to_date(F.substring_index("line_id", "-", -1), "yyyyMMdd")
+    end, shipped = F.lit(batch.end_date), F.to_date(F.substring_index("line_id", "-", -1), "yyyyMMdd")
+
+    def renamed(df: DataFrame, key: str, late: Column) -> DataFrame:
+        return df.withColumn(key, F.when(late, F.concat(F.lit("late-"), key)).otherwise(F.col(key)))
+
     return batch.replace(
-        orders=batch.orders.where(F.col("order_timestamp").cast("date") <= F.lit(batch.end_date)),
-        order_items=batch.order_items.where(shipped <= F.lit(batch.end_date)),
+        orders=renamed(batch.orders, "order_id", F.col("order_timestamp").cast("date") > end),
+        order_items=renamed(batch.order_items, "line_id", shipped > end),
     )
 
 

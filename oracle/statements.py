@@ -116,9 +116,15 @@ def statements() -> dict[str, str]:
         (table, check, f"{low},{high}", f"{low} > {high}") for table, check, low, high in t.PAIRS
     )
     q["contract_unique"] = """
-SELECT rn AS source_row, 'field_uniqueness' AS check_name, 'line_id' AS column_name, k AS failure_case
+SELECT rn AS source_row, 'field_uniqueness' AS check_name, 'line_id' AS column_name, k AS failure_case,
+       'order_items by pair' AS source_table
 FROM (SELECT rn, 'L-' || l_orderkey || '-' || l_linenumber AS k,
-             count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li) WHERE n > 1"""
+             count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li) WHERE n > 1
+UNION ALL """ + _union(
+        f"SELECT _source_row, 'field_uniqueness', '{key}', CAST({key} AS VARCHAR), '{table}' FROM src_{table} "
+        f"WHERE {key} IN (SELECT {key} FROM src_{table} GROUP BY {key} HAVING count(*) > 1)"
+        for table, key in t.KEYS.items()
+    )
     closed = {"orders": "closed_orders", "order_items": "closed_items"}
     q["contract_fk"] = _union(
         t.foreign_key_sql(table, check, column, parent, closed.get(table, f"src_{table}"), closed.get(parent, f"src_{parent}"))
@@ -132,8 +138,12 @@ FROM (SELECT rn, 'L-' || l_orderkey || '-' || l_linenumber AS k,
 SELECT source_table, total_rows, total_rows - coalesce(bad, 0) AS valid_rows, coalesce(bad, 0) AS invalid_rows,
        coalesce(failure_count, 0) AS failure_count
 FROM table_sizes LEFT JOIN finding_counts USING (source_table)"""
-    q["contract_accepted"] = """
-SELECT * FROM src_returns WHERE _source_row NOT IN (SELECT source_row FROM findings WHERE source_table = 'returns')"""
+    q["contract_accepted"] = _union(
+        f"SELECT '{table}' AS source_table, count(*) AS accepted, CAST(sum(_source_row) AS BIGINT) AS row_sum, "
+        "CAST(sum(CAST(_source_row AS HUGEINT) * _source_row % 1000003) AS BIGINT) AS row_digest "
+        f"FROM src_{table} s WHERE NOT EXISTS (SELECT 1 FROM findings f WHERE f.source_table = '{table}' AND f.source_row = s._source_row)"
+        for table in t.TABLES
+    )
     q["bronze_lineage"] = _union(
         f"SELECT '{t.LOAD}' AS _load_id, '{table}.csv' AS _source_file, count(*) AS row_count, "
         f"min(_source_row) AS first_row, max(_source_row) AS last_row, CAST(0 AS BIGINT) AS rows_without_time FROM src_{table}"

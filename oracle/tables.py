@@ -61,7 +61,7 @@ FROM li WHERE l_returnflag = 'R'"""
 
 CTE["src_promotions"] = """
 SELECT 'PROMO-' || y AS promotion_id, 'holiday' AS promotion_type, make_date(y, 11, 15) AS start_date,
-       make_date(y, 12, 15) AS end_date, CAST(0.10 AS DOUBLE) AS discount_policy, y - 1995 AS _source_row
+       make_date(y, 12, 15) AS end_date, CAST(0.10 AS DOUBLE) AS discount_policy, row_number() OVER (ORDER BY y) - 1 AS _source_row
 FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)"""
 
 CTE["src_calendar_events"] = """
@@ -210,10 +210,11 @@ def _all_findings() -> str:
 
 CTE["findings"] = _all_findings()
 CTE["closed_orders"] = """
-SELECT * FROM src_orders WHERE CAST(order_timestamp AS DATE) <= (SELECT end_date FROM batch_dates)"""
+SELECT * REPLACE (CASE WHEN CAST(order_timestamp AS DATE) > (SELECT end_date FROM batch_dates) THEN 'late-' || order_id ELSE order_id END
+                  AS order_id) FROM src_orders"""
 CTE["closed_items"] = """
-SELECT i.* FROM src_order_items i JOIN li ON li.rn = i._source_row
-WHERE CAST(l_shipdate AS DATE) <= (SELECT end_date FROM batch_dates)"""
+SELECT i.* REPLACE (CASE WHEN CAST(l_shipdate AS DATE) > (SELECT end_date FROM batch_dates) THEN 'late-' || line_id ELSE line_id END
+                    AS line_id) FROM src_order_items i JOIN li ON li.rn = i._source_row"""
 CTE["finding_counts"] = """
 SELECT source_table, count(DISTINCT source_row) AS bad, count(*) AS failure_count FROM findings GROUP BY source_table"""
 CTE["table_sizes"] = "\nUNION ALL ".join(
@@ -469,7 +470,7 @@ SELECT s.* REPLACE (
          CASE lower(trim(s.Payment_Method)) WHEN 'credit card' THEN 'Credit Card' WHEN 'debit card' THEN 'Debit Card'
               WHEN 'paypal' THEN 'PayPal' WHEN 'bank transfer' THEN 'Bank Transfer' END AS Payment_Method,
          CASE WHEN try_cast(s.Quantity AS DOUBLE) > 0 THEN CAST(try_cast(s.Quantity AS DOUBLE) AS BIGINT) END AS Quantity,
-         CAST(s.Unit_Price_USD AS DECIMAL(18,4)) AS Unit_Price_USD),
+         CAST(s.Unit_Price_USD AS DECIMAL(24,12)) AS Unit_Price_USD),
        coalesce(try_cast(s.Quantity AS DOUBLE) <= 0, true) AS _bad_quantity,
        coalesce(s.Unit_Price_USD <= 0, false) AS _bad_price,
        NOT coalesce(s.Discount_Rate BETWEEN 0 AND 1, false) AS _bad_discount,
@@ -480,7 +481,7 @@ FROM {source} s"""
 
 CTE["parsed"] = parsed_sql("sheet_dedup")
 CTE["medians"] = """
-SELECT Product, CAST(CAST(median(CAST(round(Unit_Price_USD * 100) AS DOUBLE)) * 100 AS BIGINT) / 10000.0 AS DECIMAL(18,4)) AS median
+SELECT Product, CAST(CAST(median(CAST(round(Unit_Price_USD * 100) AS DOUBLE)) * 100 AS BIGINT) / 10000.0 AS DECIMAL(24,12)) AS median
 FROM parsed WHERE NOT _bad_quantity AND NOT _bad_price GROUP BY Product"""
 
 
@@ -509,8 +510,8 @@ CTE["cleaned"] = f"""
 SELECT {_ALL.replace('Order_Date', 'day AS Order_Date')}, _source_row FROM judged WHERE kept"""
 CTE["sold_lines"] = """
 SELECT *, CAST(g - d AS DECIMAL(18,2)) AS n
-FROM (SELECT *, CAST(round(g * CAST(Discount_Rate AS DECIMAL(9,4)), 2) AS DECIMAL(18,2)) AS d
-      FROM (SELECT *, CAST(round(Quantity * Unit_Price_USD, 2) AS DECIMAL(18,2)) AS g,
+FROM (SELECT *, CAST(round(CAST(g AS DECIMAL(20,2)) * CAST(Discount_Rate AS DECIMAL(14,12)), 2) AS DECIMAL(18,2)) AS d
+      FROM (SELECT *, CAST(round(CAST(Quantity AS DECIMAL(12,0)) * Unit_Price_USD, 2) AS DECIMAL(18,2)) AS g,
                    strftime(Order_Date, '%Y-%m') AS Month FROM cleaned))"""
 CTE["sold_totals"] = """
 SELECT CAST(sum(Quantity) AS BIGINT) AS units, count(DISTINCT Order_ID) AS orders, CAST(sum(g) AS DECIMAL(18,2)) AS g,

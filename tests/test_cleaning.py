@@ -307,5 +307,23 @@ def test_numeric_summary_matches_pandas(spark):
             assert row[mine] == pytest.approx(want[column][theirs])
 
 
+def test_special_values_do_not_break_the_summary(spark):
+    inf, nan = float("inf"), float("nan")
+    table = spark.createDataFrame([(1.0, 1.0), (2.0, inf), (3.0, -inf), (nan, 2.0)], "a double, b double")
+    got = {r["column_name"]: r for r in profile.numeric_summary(table).collect()}
+    assert (got["a"]["value_count"], got["a"]["q50"], got["a"]["q75"]) == (3, 2.0, 2.5)
+    assert (got["b"]["min"], got["b"]["q50"], got["b"]["max"]) == (-inf, 1.5, inf)
+
+
+def test_prices_and_rates_keep_their_digits(spark):
+    rows = [line(1, "A", Quantity="1", Unit_Price_USD=100_000.0, Discount_Rate=0.33333), line(2, "B", Quantity="50000", Unit_Price_USD=0.00004, Discount_Rate=0.0)]
+    columns = SCHEMA.fieldNames()
+    raw = table_of(spark, [tuple({**r, "_source_row": i}[c] for c in columns) for i, r in enumerate(rows)], SCHEMA)
+    clean = cleaning.cleaned_rows(cleaning.judged_sheet(raw, cleaning.CleaningRules()))
+    assert all(r["violations"] == 0 for r in cleaning.postconditions(clean, cleaning.CleaningRules()).collect())
+    found = {r["Order_ID"]: (r["Discount_Amount_USD"], r["Gross_Sales_USD"]) for r in kpi.add_calculated_columns(clean).collect()}
+    assert found == {"A": (D("33333.00"), D("100000.00")), "B": (D("0.00"), D("2.00"))}
+
+
 def test_vocabularies():
     assert len(PRODUCT_CATEGORIES) == 12 and len(PAYMENT_METHODS) == 4

@@ -3,7 +3,7 @@ from pyspark.errors import AnalysisException
 
 from ledgerlake.schemas import FLAT_SCHEMA
 from ledgerlake.session import fit_to_input
-from ledgerlake.sources.readers import number_rows, read_flat_csv, read_parquet
+from ledgerlake.sources.readers import read_flat_csv, read_parquet
 
 
 def test_row_positions_over_one_and_several_files(spark, tmp_path):
@@ -18,12 +18,6 @@ def test_row_positions_over_one_and_several_files(spark, tmp_path):
     assert again == first
 
 
-def test_ranks_for_other_formats(spark, tmp_path):
-    df = spark.range(500).selectExpr("(id * 7919) % 500 AS k", "id AS v")
-    rows = number_rows(df, ["k"], str(tmp_path / "scratch")).collect()
-    assert all(r["_source_row"] == r["k"] for r in rows) and len(rows) == 500
-
-
 def test_flat_csv(spark, tmp_path):
     path = tmp_path / "sheet.csv"
     header = ",".join(FLAT_SCHEMA.fieldNames())
@@ -44,3 +38,21 @@ def test_partitions_are_only_raised(spark, tmp_path):
     spark.range(10).write.parquet(path)
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert fit_to_input(spark, path) == before
+
+
+def test_csv_rows_are_numbered_as_they_stand(spark, tmp_path):
+    """Also over several files and many splits, and with equal lines."""
+    folder, header = tmp_path / "sheet", ",".join(FLAT_SCHEMA.fieldNames())
+    folder.mkdir()
+    names = [f"L{(i * 7919) % 600}" if i % 5 else "same" for i in range(600)]
+    for f in range(3):
+        lines = [f"{n},A,2025-01-01,C1,Laptop,Computers,Austin,1,1.5,0.1,PayPal" for n in names[f * 200 : f * 200 + 200]]
+        (folder / f"part-{f}.csv").write_text("\n".join([header, *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = read_flat_csv(spark, str(folder), str(tmp_path / "scratch")).orderBy("_source_row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["_source_row"] for r in rows] == list(range(600))
+    assert [r["Order_Line_ID"] for r in rows] == names
