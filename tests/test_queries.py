@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerlake.queries import registered
+from oracle.statements import statements
 from tools.compare import INPUTS, canonical, type_differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = oracle_sql()
+SQL = statements()
 WITHOUT_SQL = {"source_fingerprint"}
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 
@@ -25,13 +27,14 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(queries())
+    assert set(registered()) - set(SQL) == WITHOUT_SQL
+    assert set(SQL) <= set(registered())
+    assert set(registered()) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(registered()))
 def test_query(spark, engine, name):
-    df = queries()[name](spark, FOLDER)
+    df = registered()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [word for word in UNWANTED if word in plan]
     mine = canonical(df.columns, [tuple(row) for row in df.collect()])
