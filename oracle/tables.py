@@ -225,7 +225,7 @@ CTE["table_sizes"] = "\nUNION ALL ".join(
 
 
 def _passed(table: str) -> str:
-    return f"s._source_row NOT IN (SELECT source_row FROM findings WHERE source_table = '{table}')"
+    return f"NOT EXISTS (SELECT 1 FROM findings f WHERE f.source_table = '{table}' AND f.source_row = s._source_row)"
 
 
 _PARENT_TESTS = {
@@ -247,7 +247,7 @@ def _cascade(table: str, key: str, parent: str, rule: str, reason: str) -> str:
     return (
         f"SELECT _load_id, '{table}', _source_row, _source_file, '{rule}', '{reason} parent was rejected during conformance' "
         f"FROM stg_{table} s WHERE {_passed(table)} AND {key} IS NOT NULL "
-        f"AND {key} NOT IN (SELECT {key} FROM int_{parent})"
+        f"AND NOT EXISTS (SELECT 1 FROM int_{parent} p WHERE p.{key} = s.{key})"
     )
 
 
