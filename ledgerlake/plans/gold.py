@@ -106,10 +106,24 @@ def fact_sales(items: DataFrame, orders: DataFrame, customers: DataFrame) -> Dat
     )
 
 
-def fact_returns(returns: DataFrame, items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_returns(returns: DataFrame, sales: DataFrame) -> DataFrame:
     """One row per return event, with the order's day beside the day of return. The refunded
-    revenue is rounded once, from quantity, price and discount together."""
-    lines = items.select("line_id", "order_id", "product_id", "unit_price", "unit_cost", "discount_rate")
+    revenue is rounded once, from quantity, price and discount together. The sale that is returned
+    has all else, so this is one join."""
+    lines = sales.select(
+        "line_id",
+        "order_id",
+        F.col("date_key").alias("order_date_key"),
+        "customer_id",
+        "product_id",
+        "channel_key",
+        "geography_key",
+        "promotion_id",
+        "payment_method_key",
+        "unit_price",
+        "unit_cost",
+        "discount_rate",
+    )
     kept_share = 1 - F.col("discount_rate")
     return (
         returns.select(
@@ -117,7 +131,6 @@ def fact_returns(returns: DataFrame, items: DataFrame, orders: DataFrame, custom
             F.col("reason").alias("return_reason"),
         )
         .join(lines, "line_id")
-        .join(_order_context(orders, customers).withColumnRenamed("date_key", "order_date_key"), "order_id")
         .withColumn("returned_revenue", money(F.col("returned_quantity") * F.col("unit_price") * kept_share))
         .withColumn("reversed_cogs", _extended("returned_quantity", "unit_cost"))
         .select(

@@ -314,9 +314,10 @@ class Lake:
         plans = {
             "dim_date": gold.dim_date(self.staged("calendar_events", load_id)),
             "fact_sales": gold.fact_sales(s["order_items"], s["orders"], s["customers"]),
-            "fact_returns": gold.fact_returns(s["returns"], s["order_items"], s["orders"], s["customers"]),
         }
         written = {name: self.save("gold", name, load_id, plan) for name, plan in plans.items()}
+        returned = gold.fact_returns(s["returns"], written["fact_sales"])
+        written["fact_returns"] = self.save("gold", "fact_returns", load_id, returned)
         # Order totals feed the customer and cohort marts, the latter twice.
         outcomes = marts.order_outcomes(written["fact_sales"], written["fact_returns"], written["dim_date"])
         return {**written, "order_outcomes": self.save("gold", "order_outcomes", load_id, outcomes)}

@@ -204,8 +204,7 @@ def fact_sales(w: Workbench) -> DataFrame:
 
 @query
 def fact_returns(w: Workbench) -> DataFrame:
-    s = w.silver
-    return gold.fact_returns(s["returns"], s["order_items"], s["orders"], s["customers"])
+    return gold.fact_returns(w.silver["returns"], w.gold["fact_sales"])
 
 
 for _name in (
@@ -396,7 +395,7 @@ def check_layers(w: Workbench) -> DataFrame:
 
 @query
 def check_marts(w: Workbench) -> DataFrame:
-    return quality.mart_reconciliation(w.gold["fact_sales"], w.gold["fact_returns"], w.marts())
+    return quality.mart_reconciliation(w.gold["fact_sales"], w.gold["fact_returns"], w.written_marts)
 
 
 # --- profile and signals --------------------------------------------------------------------------

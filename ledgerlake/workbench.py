@@ -78,25 +78,43 @@ class Workbench:
         staged = {t: self.staged(t) for t in conform.CONFORMED_TABLES}
         return conform.int_rejected_records(staged, self.lake.failures(self.load_id), self.silver)
 
+    def _saved(self, area: str, plans: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {name: self.lake.save(area, name, self.load_id, plan) for name, plan in plans.items()}
+
+    @cached_property
+    def dimensions(self) -> dict[str, DataFrame]:
+        """The dimensions beside the calendar, written."""
+        s = self.silver
+        return self._saved(
+            "gold",
+            {
+                "dim_customer": gold.dim_customer(s["customers"]),
+                "dim_product": gold.dim_product(s["products"]),
+                "dim_channel": gold.dim_channel(s["orders"]),
+                "dim_geography": gold.dim_geography(s["customers"]),
+                "dim_promotion": gold.dim_promotion(s["promotions"]),
+                "dim_payment_method": gold.dim_payment_method(s["orders"]),
+            },
+        )
+
+    @cached_property
+    def written_marts(self) -> dict[str, DataFrame]:
+        """The marts as consumers read them. Tests read these too and build nothing again."""
+        return self._saved("gold", self.marts())
+
+    @cached_property
+    def written_rejected(self) -> DataFrame:
+        return self._saved("silver", {"int_rejected_records": self.rejected()})["int_rejected_records"]
+
     def models(self) -> dict[str, DataFrame]:
         """Every model of every layer by name."""
         s, g = self.silver, self.gold
         found = {f"stg_{t}": self.staged(t) for t in SOURCE_TABLES}
         found |= {f"int_{t}": df for t, df in s.items()}
         found["int_promotion_assignments"] = conform.int_promotion_assignments(s["orders"], s["promotions"])
-        found["int_rejected_records"] = self.rejected()
-        found |= {
-            "dim_date": g["dim_date"],
-            "dim_customer": gold.dim_customer(s["customers"]),
-            "dim_product": gold.dim_product(s["products"]),
-            "dim_channel": gold.dim_channel(s["orders"]),
-            "dim_geography": gold.dim_geography(s["customers"]),
-            "dim_promotion": gold.dim_promotion(s["promotions"]),
-            "dim_payment_method": gold.dim_payment_method(s["orders"]),
-            "fact_sales": g["fact_sales"],
-            "fact_returns": g["fact_returns"],
-        }
-        return found | self.marts()
+        found["int_rejected_records"] = self.written_rejected
+        found |= {name: g[name] for name in ("dim_date", "fact_sales", "fact_returns")}
+        return found | self.dimensions | self.written_marts
 
     def marts(self) -> dict[str, DataFrame]:
         s, g = self.silver, self.gold

@@ -30,7 +30,7 @@ def star(spark):
         )
         staged[t] = STAGING[t](bronze)
     sales = gold.fact_sales(staged["order_items"], staged["orders"], staged["customers"]).cache()
-    returns = gold.fact_returns(staged["returns"], staged["order_items"], staged["orders"], staged["customers"]).cache()
+    returns = gold.fact_returns(staged["returns"], sales).cache()
     dates = gold.dim_date(staged["calendar_events"]).cache()
     outcomes = marts.order_outcomes(sales, returns, dates)
     found = {
