@@ -7,23 +7,27 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.shared import written
 
+#: Smallest neighbours of up to this many nodes (16 bytes each) are broadcast to the edges; more are joined by shuffle.
+BROADCAST_NODES = 500_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges``: columns a, b. Returns node and root, the smallest node reachable, for all nodes but the roots.
 
     Each round links the neighbours of a node to the smallest of them: first the larger ones, then the others. The smallest is an
-    aggregate that combines map-side, and the join that brings it back is between plain shuffles, which adaptive execution splits
-    where a node has very many neighbours. The driver sees a count and a digest per round.
+    aggregate that combines map-side, and the join that brings it back, if it is no broadcast, is between plain shuffles, which
+    adaptive execution splits where a node has very many neighbours. The driver sees a count and a digest per round.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = _digest(now)
     while True:
         both = now.union(now.select("b", "a"))
         low = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        few = 2 * seen[0] <= BROADCAST_NODES
+        large = both.where("b > a").join(_sized(low, few), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         large = written(large)
         low = written(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        small = large.join(_sized(low, few), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         now = written(small.where("a <> b").distinct())
         found = _digest(now)
         if found == seen:
@@ -31,5 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
         seen = found
 
 
+def _sized(low: DataFrame, few: bool) -> DataFrame:
+    """A graph has at most twice as many nodes as edges, so the number of edges bounds the table."""
+    return F.broadcast(low) if few else low
+
+
 def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("b", "a").cast("long"))).first())

@@ -8,7 +8,8 @@ minhashes; table (i, j) is keyed by half i of the one and half j of the other. S
 Documents of equal sets form one node from the start. Half keys that only one node has cannot be part of a shared table key and are
 dropped before pairs of halves are formed. Within a bucket not all pairs are compared: every node is compared on the full sets with
 the bucket's smallest one, then with others of its buckets as long as they are in another component; pairs inside one
-component cannot change the result. What is left, pairs between components that share a bucket, is compared completely.
+component cannot change the result. What is left, pairs between components that share a bucket, is compared completely: nodes
+without a link pair by pair, nodes with a component in blocks.
 
 Defined results: A-Z are lower-cased. NULL, empty and blank texts have an empty set and are linked with nothing; texts of one to
 four words have one shingle. Repeated rows are copies of each other. A NULL doc_id is larger than every other and
@@ -26,14 +27,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import components
-from ledgerlake.llm.shared import documents, map_arrow, pieces, row_tag, written
+from ledgerlake.llm.shared import documents, free_names, map_arrow, pieces, row_tag, written
 from ledgerlake.llm.words import Text, Words, distinct_in_rows, mix
 
 SHINGLE = 5
 SIMILAR = 75
 HALVES = 12
-STAR_ROUNDS = 2
-LEAST_AGREED = 19
+STAR_ROUNDS = 1
+LEAST_AGREED = 24
+BLOCK = 256
 _PER_HALF = 2
 _DRAW = np.random.default_rng(75)
 _FLIP = _DRAW.integers(0, 2**63, 2 * HALVES * _PER_HALF, dtype=np.uint64)
@@ -162,19 +164,72 @@ def _links(nodes: DataFrame, texts: DataFrame, tables: DataFrame) -> DataFrame:
         best = written(best)
         links, tried = links.union(verified(best, texts)), tried.union(best)
         roots = components(links)
-    open_rows = written(_contested(tables, roots).join(sketch, "node"))
-    x, y = (open_rows.select("key", "i", "j", *(F.col(c).alias(c + s) for c in ("node", "label", "n_shingles", "minima"))) for s in ("_a", "_b"))
+    open_rows = written(_contested(tables, roots))
+    clusters = written(roots.groupBy("root").agg((F.count("*") + 1).alias("size")))
+    rest = written(_single_pairs(open_rows.join(clusters, open_rows.label == clusters.root, "left_anti"), sketch).join(tried, ["a", "b"], "left_anti"))
+    links = links.union(verified(rest, texts)).union(_cluster_links(open_rows, roots, clusters, texts))
+    return components(links)
+
+
+def _single_pairs(open_rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Pairs of nodes without any link so far that share a table, each from the first table in which it meets."""
+    rows = written(open_rows.join(sketch, "node"))
+    x, y = (rows.select("key", "i", "j", *(F.col(c).alias(c + s) for c in ("node", "n_shingles", "minima"))) for s in ("_a", "_b"))
     agree = F.zip_with("minima_a", "minima_b", lambda p, q: p == q)
-    # Each pair at the first table in which it meets.
-    fits = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & _may_link("n_shingles_a", "n_shingles_b", F.size(F.filter(agree, lambda e: e)))
+    fits = (F.col("node_a") < F.col("node_b")) & _may_link("n_shingles_a", "n_shingles_b", F.size(F.filter(agree, lambda e: e)))
     first = (_half_equal(0, agree) == F.col("l.i") + 1) & (_half_equal(1, agree) == F.col("l.j") + 1)
-    pairs = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & fits & first).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    rest = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-    return components(links.union(verified(rest, texts)))
+    pairs = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & fits & first)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _cluster_links(open_rows: DataFrame, roots: DataFrame, clusters: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the members of a component and nodes outside it that share a table with one of them.
+
+    Members and outside nodes are cut into blocks of about BLOCK documents, and each pair of blocks is a group of its own; only links
+    leave it, one per outside node. So a large component meets many strays without a row for every pair.
+    """
+    at = open_rows.select("key", "label").distinct().join(clusters.select(F.col("root").alias("label")), "label").select("key", F.col("label").alias("cluster"))
+    met = open_rows.select("key", "node", "label").join(written(at), "key")
+    single = clusters.select(F.col("root").alias("label"), F.lit(True).alias("is_cluster"))
+    asked = met.where("label <> cluster").select("node", "label", "cluster").distinct().join(single, "label", "left")
+    asked = written(asked.where("is_cluster IS NULL OR label < cluster").select("node", "cluster"))
+    shape = asked.groupBy("cluster").agg(F.count("*").alias("n")).join(clusters, F.col("cluster") == F.col("root"))
+    shape = written(shape.select("cluster", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("n") / BLOCK).cast("int").alias("asks")))
+    members = roots.select("node", F.col("root").alias("cluster")).union(clusters.select("root", "root"))
+
+    def dealt(rows: DataFrame, own: str, other: str, inside: bool) -> DataFrame:
+        rows = rows.join(shape, "cluster").withColumn(own, F.pmod(F.xxhash64("node"), F.col(own + "s")).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)))
+        return rows.select("cluster", "block", "ask", "node", F.lit(inside).alias("inside"))
+
+    both = dealt(members, "block", "ask", True).unionByName(dealt(asked, "ask", "block", False))
+
+    def compare(group: pa.Table) -> pa.Table:
+        order = np.argsort(~group.column("inside").to_numpy(), kind="stable")
+        group = group.take(pa.array(order))
+        n_in = int(np.sum(group.column("inside").to_numpy()))
+        row, names, n = shingle_sets(pa.concat_arrays(group.column("text").chunks))
+        sizes, nodes = np.bincount(row, minlength=n), group.column("node").to_numpy()
+        cut = int(np.searchsorted(row, n_in))
+        by_name = np.argsort(names[:cut], kind="stable")
+        known, holder = names[:cut][by_name], row[:cut][by_name]
+        pairs: list[tuple[int, int]] = []
+        for z in range(n_in, n):
+            mine = names[np.searchsorted(row, z) : np.searchsorted(row, z, side="right")]
+            low, high = np.searchsorted(known, mine), np.searchsorted(known, mine, side="right")
+            times = high - low
+            held = holder[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+            both = np.bincount(held, minlength=n_in)
+            near = np.flatnonzero((both > 0) & (100 * both >= SIMILAR * (sizes[:n_in] + sizes[z] - both)))
+            if len(near):
+                pairs.append((nodes[near[0]], nodes[z]))
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return written(both.join(texts, "node").groupBy("cluster", "block", "ask").applyInArrow(compare, "a bigint, b bigint"))
 
 
 def _may_link(n_a: str, n_b: str, agreed: Column) -> Column:
-    """Sets of too different sizes cannot be similar enough; at 0.75, 48 minhashes agree in 18 or less about once in 10**8."""
+    """Sets of too different sizes cannot be similar enough; at 0.75, fewer than 24 of 48 minhashes agree about once in 20,000."""
     sizes = 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
     return sizes & (agreed >= LEAST_AGREED)
 
@@ -214,11 +269,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_leaders(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns; of equal rows with equal doc_id one stays. Empty texts all stay."""
-    judged = near_duplicates(docs).where("leads").groupBy("doc_id", "tag").agg(F.max("n_shingles").alias("size"))
-    judged = judged.select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("size").alias("_n"))
-    row = F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_n"))
-    met = docs.join(judged, docs["doc_id"].eqNullSafe(judged["_d"]) & (row_tag() == judged["_t"]))
-    return met.withColumn("_row", row).where("_n = 0 OR _row = 1").select(*(docs[c] for c in docs.columns))
+    own_id, own_tag, size, row = free_names(docs, "own_id", "own_tag", "size", "row")
+    judged = near_duplicates(docs).where("leads").groupBy("doc_id", "tag").agg(F.max("n_shingles").alias(size))
+    judged = judged.withColumnsRenamed({"doc_id": own_id, "tag": own_tag})
+    met = docs.join(judged, docs["doc_id"].eqNullSafe(judged[own_id]) & (row_tag() == judged[own_tag]))
+    met = met.withColumn(row, F.row_number().over(Window.partitionBy(own_id, own_tag).orderBy(size)))
+    return met.where((F.col(size) == 0) | (F.col(row) == 1)).select(*(docs[c] for c in docs.columns))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +287,8 @@ SQL = r"""
 WITH RECURSIVE docs AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	
-]+') AS w FROM documents
+
+]+') AS w FROM documents
 ), shingles AS (
     SELECT DISTINCT r, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS s
     FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)
