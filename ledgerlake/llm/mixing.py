@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.shared import before, documents, row_tag, written
+from ledgerlake.llm.shared import before, documents, free_names, row_tag, written
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -132,12 +132,13 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 def take_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
-    copies = mix(docs, seed).where("copies > 0").groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias("_copies"))
-    copies = copies.withColumnsRenamed({"doc_id": "_d", "tag": "_t"})
-    met = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_d"]) & (row_tag() == copies["_t"]))
+    own_id, own_tag, times, row, copy = free_names(docs, "own_id", "own_tag", "times", "row", "copy")
+    copies = mix(docs, seed).where("copies > 0").groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias(times))
+    copies = copies.withColumnsRenamed({"doc_id": own_id, "tag": own_tag})
+    met = docs.join(copies, docs["doc_id"].eqNullSafe(copies[own_id]) & (row_tag() == copies[own_tag]))
     # Rows equal in doc_id and text count together; the first stands for them.
-    met = met.withColumn("_row", F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_copies"))).where("_row = 1")
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+    met = met.withColumn(row, F.row_number().over(Window.partitionBy(own_id, own_tag).orderBy(times))).where(F.col(row) == 1)
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(docs[c] for c in docs.columns))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,17 @@ def row_tag(text: str = "text") -> Column:
     return F.hash(F.col(text))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores in front as it takes to be no column's."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str, text: str = "text") -> DataFrame:
     """``mapInArrow`` over pieces of about PIECE_BYTES of text; ``step`` gets a piece and yields batches."""
     small_batches(df.sparkSession)

@@ -48,7 +48,7 @@ def documents(seed=1, n=60):
 
 def frame(spark, rows, schema=SCHEMA):
     """With other columns whose names the operators use themselves."""
-    clashing = {"tag": 1, "row": 2, "n_words": 3, "kept": 4, "key": 5, "id": 6, "node": 7, "size": 8, "order": 9}
+    clashing = {"tag": 1, "row": 2, "n_words": 3, "kept": 4, "key": 5, "id": 6, "node": 7, "size": 8, "order": 9, "times": 10, "own_id": 11, "copy": 12}
     made = spark.createDataFrame(rows, schema)
     from pyspark.sql import functions as F
 
