@@ -127,10 +127,12 @@ def places(words: Words, hashes: np.ndarray, index: Index, min_coverage: float)
 def _align(tokens: np.ndarray, template: np.ndarray, lies: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignment of a template at each place of ``lies``: matches, first and last token. A match scores 2, a gap or change -1.
 
-    Cell o of template row i stands for text token lies + i + o - BAND; texts end at ``low`` and ``high``.
+    Cell o of template row i stands for text token lies + i + o - band; texts end at ``low`` and ``high``. Short templates have a
+    narrow band, so that a notice that follows at once is a place of its own.
     """
-    width = 3 * BAND + 1
-    offsets = np.arange(width) - BAND
+    band = min(BAND, len(template) // 2)
+    width = 3 * band + 1
+    offsets = np.arange(width) - band
     gaps = np.arange(width) * _SCORE
     fresh = np.broadcast_to(np.arange(width), (len(lies), width)).astype(np.int64)
     cells, best, last = fresh.copy(), np.zeros(len(lies), np.int64), np.zeros(len(lies), np.int64)
@@ -146,8 +148,8 @@ def _align(tokens: np.ndarray, template: np.ndarray, lies: np.ndarray, low: np.n
         o = top.argmax(axis=1)
         value = top[np.arange(len(lies)), o]
         better = value > best
-        best, last = np.where(better, value, best), np.where(better, lies + i + o - BAND, last)
-    return (best // _MATCH) & (_SCORE // _MATCH - 1), lies + (best & _STARTS) - BAND, last
+        best, last = np.where(better, value, best), np.where(better, lies + i + o - band, last)
+    return (best // _MATCH) & (_SCORE // _MATCH - 1), lies + (best & _STARTS) - band, last
 
 
 def best_of_overlapping(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
