@@ -49,6 +49,10 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     over = [i for i in np.flatnonzero(counts > taken) if lengths[i] < 2 * left]
     if over:  # one more comes nearer than none
         taken[min(over, key=lambda i: abs(int(lengths[i]) - left))] += 1
+    longer = np.flatnonzero(lengths > budget)
+    if len(longer) and lengths[longer].min() - budget < abs(budget - int(lengths @ taken)):  # one long document alone
+        taken[:] = 0
+        taken[longer[lengths[longer].argmin()]] = 1
     return taken
 
 
