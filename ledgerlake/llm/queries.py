@@ -33,5 +33,6 @@ def statements() -> dict[str, str]:
         "op2_quality_rules": quality.SQL,
         "op3_url_filters": urls.SQL,
         "op6_line_dedup": lines.SQL,
+        "op7_minhash_near_dedup": minhash.SQL,
         "op9_substring_dedup": substrings.SQL,
     }
