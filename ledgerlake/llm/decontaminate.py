@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations only.
 
-A seed is a fixed mask over SPAN consecutive tokens that looks at some of them and ignores the others, so that a substituted token
-at an ignored place leaves the hash unchanged. The hashes of all places of all texts are joined with those of the benchmark. A hit
+A seed is a fixed mask over a few consecutive tokens that looks at some of them and ignores the others, so that a substituted token
+at an ignored place leaves the hash unchanged. The masks are complete: whatever tokens of a frame are substituted, as long as the rule
+below accepts it, one mask fits between them somewhere (a test goes through all such patterns). The hashes of all places of all texts are joined with those of the benchmark. A hit
 fixes how text and item lie on each other; the tokens of the item's whole length are then compared place by place. The
 overlap is confirmed if some FRAME aligned tokens agree in at least LEAST of their places, and it is reported with the number
 of agreeing tokens and the span of the agreeing frames.
@@ -9,7 +10,7 @@ of agreeing tokens and the span of the agreeing frames.
 Tokens are maximal runs of letters and digits, lower-cased, so punctuation and case do not hide a passage.
 
 Defined results: NULL and empty texts and items have no tokens. Items of fewer than SPAN tokens are too short to prove anything
-and match nothing; for items shorter than FRAME the frame is the item. Repeated documents or items are found once per distinct row.
+and match nothing, texts may be shorter; for items shorter than FRAME the frame is the item. Repeated documents or items are found once per distinct row.
 A NULL doc_id or item_id is reported as NULL. Empty tables give an empty result; other columns play no part.
 """
 
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.shared import documents, row_tag, written
 
-#: Places that count, within SPAN tokens. Between them they bear one substitution in nearly any place, and two in many.
-MASKS = ("110110110", "101101101", "011011011")
+#: Places that count. They begin and end with one, so places outside the text are borne like substitutions.
+MASKS = ("111011", "110100011", "1001111", "111000101")
 SPAN = 9
 FRAME = 13
 LEAST = 10
@@ -36,16 +37,18 @@ def _tokens(text: str) -> Column:
 
 def _seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
     """A row per place and mask: the seed's hash and ``at``, its first token (from 0)."""
-    placed = rows.where(F.size("tokens") >= SPAN).select(*keep, "tokens", F.posexplode("tokens").alias("at", "_"))
-    placed = placed.where(F.col("at") <= F.size("tokens") - SPAN)
-    hashes = [F.xxhash64(F.lit(i), *(F.get("tokens", F.col("at") + k) for k in range(SPAN) if mask[k] == "1")) for i, mask in enumerate(MASKS)]
-    return placed.select(*keep, "tokens", "at", F.explode(F.array(*hashes)).alias("seed"))
+    placed = rows.select(*keep, "tokens", F.posexplode("tokens").alias("at", "_")).where(F.col("at") <= F.size("tokens") - min(map(len, MASKS)))
+    hashes = []
+    for i, mask in enumerate(MASKS):
+        seed = F.xxhash64(F.lit(i), *(F.get("tokens", F.col("at") + k) for k in range(len(mask)) if mask[k] == "1"))
+        hashes.append(F.when(F.col("at") <= F.size("tokens") - len(mask), seed))
+    return placed.select(*keep, "tokens", "at", F.explode(F.array(*hashes)).alias("seed")).where("seed IS NOT NULL")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, tag, item_id, n_item_tokens, n_agreeing, first and last agreeing item token: the best alignment of each pair."""
     items = written(benchmark.select(F.col("item_id"), row_tag().alias("item_tag"), _tokens("text").alias("tokens")).distinct())
-    index = written(_seeds(items, ["item_id", "item_tag"]).select("seed", "item_id", "item_tag", F.col("at").alias("item_at"), F.size("tokens").alias("n")))
+    index = written(_seeds(items.where(F.size("tokens") >= SPAN), ["item_id", "item_tag"]).select("seed", "item_id", "item_tag", F.col("at").alias("item_at"), F.size("tokens").alias("n")))
     side = F.broadcast(index) if index.count() <= BROADCAST_SEEDS else index
     tokens = docs.select("doc_id", row_tag().alias("tag"), _tokens("text").alias("tokens"))
     hits = _seeds(tokens, ["doc_id", "tag"]).join(side, "seed")

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -198,6 +199,51 @@ def test_substituted_passages_are_found(spark):
     assert {(r.doc_id, r.n_agreeing, r.doc_token) for r in found.collect()} == {(i, 39, i % 5) for i in range(30)}
 
 
+def test_masks_fit_every_accepted_pattern():
+    """Whatever places of a frame are substituted, a mask lies between them as long as the rule accepts the rest."""
+    for n in range(decontaminate.SPAN, decontaminate.FRAME + 1):
+        for k in range(n + 1):
+            if (n - k) * decontaminate.FRAME < decontaminate.LEAST * n:
+                break
+            for gone in itertools.combinations(range(n), k):
+                fits = any(_fits(m, at, gone) for m in decontaminate.MASKS for at in range(n - len(m) + 1))
+                assert fits, (n, gone)
+
+
+def _fits(mask, at, gone):
+    return mask[0] == mask[-1] == "1" and not any(at <= g < at + len(mask) and mask[g - at] == "1" for g in gone)
+
+
+def test_contaminated_equals_the_rule_alone(spark):
+    """All alignments of all pairs, place by place and without seeds."""
+    rng = random.Random(9)
+    items = {n: [f"i{n}t{k}" for k in range(n)] for n in (*range(8, 14), 16, 20, 40)}
+    texts = {0: ["other"] * 4 + [t if k not in (4, 8) else "x" for k, t in enumerate(items[13])], 1: items[9][1:8], 2: items[13][3:], 3: items[8]}
+    for i in range(4, 400):
+        n = rng.choice(list(items))
+        w = list(items[n])
+        for k in rng.sample(range(n), rng.randint(0, min(5, n))):
+            w[k] = rng.choice(["x", *items[n]])
+        begin = rng.choice([0, 0, rng.randint(0, 3)])
+        texts[i] = [f"y{i}"] * rng.choice([0, 0, 5]) + w[begin : n - rng.choice([0, 0, rng.randint(0, 3)])] + ["z"] * rng.choice([0, 7])
+    wanted = {}
+    for i, w in texts.items():
+        for n, v in items.items():
+            frame = min(n, 13)
+            for start in range(-n + 1, len(w) if n >= 9 else -n + 1):
+                same = [0 <= start + k < len(w) and w[start + k] == v[k] for k in range(n)]
+                frames = [k for k in range(n - frame + 1) if sum(same[k : k + frame]) * 13 >= 10 * frame]
+                if frames:
+                    found = (sum(same), -start, n, frames[0], frames[-1] + frame - 1)
+                    wanted[i, n] = max(wanted.get((i, n), found), found)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(v)) for n, v in items.items()], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.n_agreeing, -r.doc_token, r.n_item_tokens, r.first_token, r.last_token) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == wanted and {(0, 13), (1, 9), (2, 13)} <= set(found)
+    kept = {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()}
+    assert kept == set(texts) - {i for i, _ in wanted}
+
+
 def test_decontamination_runs_no_python(spark, full):
     for df in (decontaminate.op1_benchmark_decontamination(spark, full), corpus_pipeline.decontamination(spark, read_documents(spark, full), full)):
         plan = df._jdf.queryExecution().executedPlan().toString()
