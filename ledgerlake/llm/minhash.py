@@ -34,7 +34,6 @@ SHINGLE = 5
 SIMILAR = 75
 HALVES = 12
 STAR_ROUNDS = 1
-LEAST_AGREED = 24
 BLOCK = 256
 _PER_HALF = 2
 _DRAW = np.random.default_rng(75)
@@ -176,7 +175,7 @@ def _single_pairs(open_rows: DataFrame, sketch: DataFrame) -> DataFrame:
     rows = written(open_rows.join(sketch, "node"))
     x, y = (rows.select("key", "i", "j", *(F.col(c).alias(c + s) for c in ("node", "n_shingles", "minima"))) for s in ("_a", "_b"))
     agree = F.zip_with("minima_a", "minima_b", lambda p, q: p == q)
-    fits = (F.col("node_a") < F.col("node_b")) & _may_link("n_shingles_a", "n_shingles_b", F.size(F.filter(agree, lambda e: e)))
+    fits = (F.col("node_a") < F.col("node_b")) & _may_link("n_shingles_a", "n_shingles_b")
     first = (_half_equal(0, agree) == F.col("l.i") + 1) & (_half_equal(1, agree) == F.col("l.j") + 1)
     pairs = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & fits & first)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
@@ -228,17 +227,16 @@ def _cluster_links(open_rows: DataFrame, roots: DataFrame, clusters: DataFrame,
     return written(both.join(texts, "node").groupBy("cluster", "block", "ask").applyInArrow(compare, "a bigint, b bigint"))
 
 
-def _may_link(n_a: str, n_b: str, agreed: Column) -> Column:
-    """Sets of too different sizes cannot be similar enough; at 0.75, fewer than 24 of 48 minhashes agree about once in 20,000."""
-    sizes = 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
-    return sizes & (agreed >= LEAST_AGREED)
+def _may_link(n_a: str, n_b: str) -> Column:
+    """Sets of too different sizes cannot be similar enough. Minhashes that disagree prove nothing and drop no pair."""
+    return 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
 
 
 def _rated(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
     for c in ("a", "b"):
         pairs = pairs.join(sketch.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("minima").alias(f"minima_{c}")), c)
     agreed = F.size(F.filter(F.zip_with("minima_a", "minima_b", lambda p, q: p == q), lambda e: e))
-    return pairs.withColumn("agreed", agreed).where(_may_link("n_a", "n_b", F.col("agreed"))).select("a", "b", "node", "agreed")
+    return pairs.withColumn("agreed", agreed).where(_may_link("n_a", "n_b")).select("a", "b", "node", "agreed")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

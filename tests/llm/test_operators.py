@@ -95,6 +95,17 @@ def test_near_duplicates_of_a_chain_and_a_large_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(d) for d in sets})
 
 
+def test_pairs_of_one_table_are_not_dropped_by_minhashes(spark):
+    """Two nodes that agree in the four minhashes of one table and in no others still get to the full sets."""
+    one, other = list(range(48)), [k if k in (0, 1, 24, 25) else 100 + k for k in range(48)]
+    sketch = spark.createDataFrame([(1, 100, one), (2, 75, other), (3, 74, other)], "node bigint, n_shingles bigint, minima array<int>")
+    rows = spark.createDataFrame([(5, 0, 0, n, n) for n in (1, 2, 3)], "key bigint, i tinyint, j tinyint, node bigint, label bigint")
+    pairs = {(r.a, r.b) for r in minhash._single_pairs(rows, sketch).collect()}
+    assert pairs - {(2, 3)} == {(1, 2)}
+    tried = spark.createDataFrame([(1, 2, 1), (1, 3, 1)], "a bigint, b bigint, node bigint")
+    assert [(r.a, r.b, r.agreed) for r in minhash._rated(tried, sketch).collect()] == [(1, 2, 4)]
+
+
 def test_one_of_equal_rows_stays_and_empty_texts_all(spark):
     rows = [(1, "a b c"), (1, "a b c"), (1, "A B C"), (None, "a b c"), (2, None), (2, None), (3, ""), (None, "q"), (None, "q"), (None, "r")]
     kept = minhash.keep_leaders(h.frame(spark, rows, "doc_id bigint, text string"))
