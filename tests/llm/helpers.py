@@ -55,15 +55,24 @@ def frame(spark, rows, schema=SCHEMA):
     return made.withColumns({c: F.lit(v) for c, v in clashing.items() if c not in made.columns})
 
 
-def folder(spark, path, rows, benchmark=(), pages=()):
+def vectors(spark, rows):
+    """With other columns whose names the operator uses itself."""
+    from pyspark.sql import functions as F
+
+    made = spark.createDataFrame(list(rows), "vec_id bigint, embedding array<float>, label int")
+    return made.withColumns({c: F.lit(1) for c in ("row", "v", "rank", "row_block", "anchor_id", "positive_id", "a.b")})
+
+
+def folder(spark, path, rows, benchmark=(), pages=(), embeddings=()):
     """The tables as a folder that queries read."""
     frame(spark, rows).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(list(benchmark), "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+    vectors(spark, embeddings).write.parquet(f"{path}/embeddings.parquet")
     spark.createDataFrame(list(pages), "page_id bigint, url string, html string").write.parquet(f"{path}/pages.parquet")
     return str(path)
 
 
-def by_sql(path, sql, tables=("documents", "benchmark", "pages")):
+def by_sql(path, sql, tables=("documents", "benchmark", "pages", "embeddings")):
     connection = duckdb.connect()
     for t in tables:
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet/*.parquet')")
