@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, langid, licenses, lines, minhash, mixing, quality, substrings, tokens, urls
+from ledgerlake.llm import bytebpe, decontaminate, divergence, langid, licenses, lines, minhash, mixing, negatives, quality, substrings, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def registered() -> dict[str, Query]:
         langid.op8_language_id,
         substrings.op9_substring_dedup,
         licenses.op10_license_scan,
+        negatives.op11_hard_negatives,
+        bytebpe.op12_byte_bpe,
+        divergence.op13_source_divergence,
     ]
     return {f.__name__: f for f in found}
 
@@ -35,4 +38,6 @@ def statements() -> dict[str, str]:
         "op6_line_dedup": lines.SQL,
         "op7_minhash_near_dedup": minhash.SQL,
         "op9_substring_dedup": substrings.SQL,
+        "op11_hard_negatives": negatives.SQL,
+        "op13_source_divergence": divergence.SQL,
     }
