@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.analytics import baskets, cohorts, forecasting, propensity, rfm
 from ledgerlake.operators import cleaning, contracts, fingerprint, kpi, profile, quality, signals
 from ledgerlake.plans import conform, gold
 from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW, SOURCE_TABLES, TABLES
@@ -217,6 +218,78 @@ for _name in (
     _register(_name, partial(lambda w, name: w.marts()[name], name=_name))
 
 
+# --- analyses on the written marts ----------------------------------------------------------------
+
+
+@query
+def mart_basket_pairs(w: Workbench) -> DataFrame:
+    return baskets.basket_pairs(w.written_marts["mart_basket_base"])
+
+
+@query
+def mart_rfm(w: Workbench) -> DataFrame:
+    return rfm.build_rfm(w.written_marts["mart_customer_360"], w.analysis_date)
+
+
+@query
+def customer_snapshots(w: Workbench) -> DataFrame:
+    return w.snapshots
+
+
+@query
+def temporal_features(w: Workbench) -> DataFrame:
+    table = forecasting.temporal_features(w.written_marts["mart_forecasting_base"])
+    return table.withColumns({c: F.round(c, 9) for c in ("rolling_std_4", "rolling_std_13", "promoted_share_lag_1", "price_change")})
+
+
+@query
+def rolling_origin_splits(w: Workbench) -> DataFrame:
+    return forecasting.rolling_origin_splits(w.written_marts["mart_forecasting_base"])
+
+
+@query
+def fold_membership(w: Workbench) -> DataFrame:
+    return forecasting.fold_membership(w.written_marts["mart_forecasting_base"].select("category", "week_start"))
+
+
+@query
+def forecast_baselines(w: Workbench) -> DataFrame:
+    return forecasting.baseline_forecasts(w.written_marts["mart_forecasting_base"])
+
+
+@query
+def forecast_errors(w: Workbench) -> DataFrame:
+    return forecasting.forecast_errors(forecasting.baseline_forecasts(w.written_marts["mart_forecasting_base"]))
+
+
+@query
+def cohort_retention(w: Workbench) -> DataFrame:
+    return cohorts.retention(w.written_marts["mart_cohort_base"])
+
+
+@query
+def cohort_retention_matrix(w: Workbench) -> DataFrame:
+    return cohorts.retention_matrix(cohorts.retention(w.written_marts["mart_cohort_base"]))
+
+
+@query
+def propensity_baselines(w: Workbench) -> DataFrame:
+    return propensity.compare_models(w.time_split, w.written_marts["mart_customer_360"])
+
+
+@query
+def propensity_calibration(w: Workbench) -> DataFrame:
+    """Of the recency baseline."""
+    return propensity.calibration(propensity.recency_baseline(w.time_split))
+
+
+@query
+def propensity_classifier(w: Workbench) -> DataFrame:
+    """Brier score of the classifier on each test cutoff."""
+    split = w.time_split
+    return propensity.brier(propensity.classify(propensity.fit_classifier(split.train), split.test), "cutoff")
+
+
 # --- flat sheet -----------------------------------------------------------------------------------
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time settings the plans in this package are written for. Partition counts start high
 # and AQE coalesces them, so one value serves a laptop sample and a large cluster alike.
@@ -62,6 +63,23 @@ def work_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_STEPS: dict[str, str] = {}
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, read from a table below the shared folder.
+
+    Lineage ends there, Spark knows the table's true size, and what a plan decides once (row numbers, ranges) stays as it is.
+    """
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    if application not in _STEPS:
+        _STEPS[application] = f"{work_dir(spark)}/ledgerlake/{application}/steps"
+    path = f"{_STEPS[application]}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # How ``fit_to_input`` cuts: bytes per shuffle partition, splits of a scan, and the bounds of one.
 PARTITION_BYTES = 64 << 20
 SPLITS = 100_000

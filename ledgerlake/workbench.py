@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import cached_property
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.analytics import churn, propensity
 from ledgerlake.operators import cleaning
 from ledgerlake.operators.contracts import validate_sources
 from ledgerlake.operators.groups import hot_groups
@@ -129,6 +131,28 @@ class Workbench:
             ),
         }
 
+    # --- analyses ----------------------------------------------------------------------------------
+
+    @property
+    def analysis_date(self):
+        """The day after the last one of the batch."""
+        return self.batch.end_date + timedelta(days=1)
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        """Customer snapshots at the ends of quarters, from the end of the first year on, written."""
+        first = self.batch.start_date + timedelta(days=365)
+        cutoffs = churn.quarter_ends(first, self.batch.end_date)
+        events = churn.customer_events(self.gold["order_outcomes"], self.gold["fact_returns"])
+        plan = churn.build_customer_snapshots(events, cutoffs, churn.HORIZON_DAYS, self.batch.end_date)
+        return self._saved("gold", {"customer_snapshots": plan})["customer_snapshots"]
+
+    @cached_property
+    def time_split(self) -> propensity.TimeSplit:
+        """Test snapshots are those of the last two years."""
+        first_test = self.batch.end_date - timedelta(days=730)
+        return propensity.split_by_time(self.snapshots, first_test, churn.HORIZON_DAYS)
+
     # --- flat sheet --------------------------------------------------------------------------------
 
     def _sheet_table(self, df: DataFrame, name: str) -> DataFrame:

@@ -7,11 +7,13 @@ import re
 from ledgerlake.operators.quality import declared_tests
 from ledgerlake.sources.shop_tables import SEGMENTS
 from ledgerlake.schemas import Vocabulary
+from oracle import analyses
 from oracle import tables as t
 
-CTE = t.CTE
+CTE = t.CTE | analyses.TABLES
 # Heavy tables that several parts of a statement read.
 _SHARED = {"li", "findings", "stg_order_items", "int_orders", "int_order_items", "fact_sales", "fact_returns", "order_totals", "sheet", "parsed", "judged", "sold_lines"}
+_SHARED |= analyses.SHARED
 
 
 def with_tables(final: str) -> str:
@@ -390,4 +392,5 @@ FROM int_returns JOIN int_order_items USING (line_id)"""
 SELECT count(*) AS cross_week_returns
 FROM fact_returns JOIN dim_date o ON o.date_key = order_date_key JOIN dim_date r ON r.date_key = return_date_key
 WHERE date_trunc('week', o.full_date) <> date_trunc('week', r.full_date)"""
+    q |= analyses.statements()
     return {name: with_tables(sql) for name, sql in q.items()}

@@ -12,7 +12,7 @@ from tools.compare import INPUTS, canonical, type_differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = statements()
-WITHOUT_SQL = {"source_fingerprint"}
+WITHOUT_SQL = {"source_fingerprint", "propensity_classifier"}
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="input tables are not here")
