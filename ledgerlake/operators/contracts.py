@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.groups import attach_group_value
 from ledgerlake.schemas import SOURCE_ROW, SOURCE_TABLES, TABLES, Field, SourceTables
+from ledgerlake.session import stored
 
 FINDING_SCHEMA = T.StructType(
     [
@@ -258,15 +259,23 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
-def rows_with_repeated_key(df: DataFrame, key: str) -> DataFrame:
-    """All copies of rows whose (text) key occurs more than once."""
-    return attach_group_value(df, key, repeated_keys(df, key), "copies", "copies").where(F.col("copies").isNotNull())
+#: Tables whose key is judged twice: for uniqueness, and as the guard of a lookup.
+_GUARDS = ("orders", "order_items")
 
 
-def uniqueness_findings(df: DataFrame, key: str) -> DataFrame:
+def stored_repeats(batch: SourceTables) -> dict[str, DataFrame]:
+    """The repeated keys of tables that lookups go to, written: uniqueness and guard read the same (mostly empty) table."""
+    keys = {t: f.name for t in _GUARDS for f in TABLES[t] if f.unique and f.name in batch[t].columns}
+    return {t: stored(repeated_keys(batch[t], key)) for t, key in keys.items()}
+
+
+def uniqueness_findings(df: DataFrame, key: str, repeats: DataFrame | None = None) -> DataFrame:
     """Every copy of a repeated, non-NULL key."""
+    found = repeated_keys(df, key) if repeats is None else repeats
     keyed = df.selectExpr(f"CAST(`{key}` AS STRING) AS `{key}`", SOURCE_ROW).where(f"`{key}` IS NOT NULL")
-    return broken_rules(rows_with_repeated_key(keyed, key), [Judgement("field_uniqueness", key, "true", f"`{key}`")])
+    known = found.selectExpr(f"CAST(`{key}` AS STRING) AS `{key}`", "copies").where(f"`{key}` IS NOT NULL")
+    copies = attach_group_value(keyed, key, known, "copies", "copies").where(F.col("copies").isNotNull())
+    return broken_rules(copies, [Judgement("field_uniqueness", key, "true", f"`{key}`")])
 
 
 def foreign_key_findings(batch: SourceTables, fk: ForeignKey) -> DataFrame:
@@ -277,10 +286,10 @@ def foreign_key_findings(batch: SourceTables, fk: ForeignKey) -> DataFrame:
     return broken_rules(orphans, [Judgement(fk.name, fk.column, "true", f"`{fk.column}`")])
 
 
-def _is_unique(df: DataFrame, key: str) -> Column:
+def _is_unique(df: DataFrame, key: str, repeats: DataFrame | None) -> Column:
     """Whether a key has no repeats at all (repeated NULLs count), as a scalar subquery."""
-    worst = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"))
-    return worst.scalar() <= 1
+    found = repeated_keys(df, key) if repeats is None else repeats
+    return found.agg(F.count("*")).scalar() == 0
 
 
 def _line_rule(check: str, value: str, ok: str) -> Judgement:
@@ -288,7 +297,9 @@ def _line_rule(check: str, value: str, ok: str) -> Judgement:
     return Judgement(check, f"{value},line_id", f"NOT coalesce({ok}, false)", case)
 
 
-def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = True) -> DataFrame:
+def return_findings(
+    batch: SourceTables, quantity: bool = True, dates: bool = True, repeats: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Returns against the ordered line and against the day of its order, in one lookup.
 
     A line or order that cannot be found offers nothing to compare with, and the rule fails.
@@ -297,7 +308,9 @@ def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = Tr
     """
     values = ["returned_quantity"] * quantity + ["return_date"] * dates
     ordered = ["quantity"] * quantity + ["order_id"] * dates
-    complete = batch.returns.where(_complete_row(batch.returns)).where(_is_unique(batch.order_items, "line_id"))
+    complete = batch.returns.where(_complete_row(batch.returns)).where(
+        _is_unique(batch.order_items, "line_id", (repeats or {}).get("order_items"))
+    )
     looked_up = complete.select("line_id", SOURCE_ROW, *values).join(
         batch.order_items.select("line_id", *ordered), "line_id", "left"
     )
@@ -305,7 +318,7 @@ def return_findings(batch: SourceTables, quantity: bool = True, dates: bool = Tr
     if quantity:
         rules.append(_line_rule("returned_quantity_lte_ordered", "returned_quantity", "returned_quantity <= quantity"))
     if dates:
-        orders_unique = _is_unique(batch.orders, "order_id")
+        orders_unique = _is_unique(batch.orders, "order_id", (repeats or {}).get("orders"))
         days = batch.orders.selectExpr("order_id", "CAST(order_timestamp AS DATE) AS _ordered_on").where(orders_unique)
         looked_up = looked_up.join(days, "order_id", "left").withColumn("_judged", orders_unique)
         rules.append(
@@ -318,8 +331,9 @@ def _has(batch: SourceTables, table: str, *columns: str) -> bool:
     return set(columns) <= {f.name for f in usable_fields(batch[table], table)}
 
 
-def table_findings(batch: SourceTables, table: str) -> DataFrame:
-    """All findings of one table (without load id)."""
+def table_findings(batch: SourceTables, table: str, repeats: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All findings of one table (without load id). ``repeats`` are the repeated keys of tables, where they are known already."""
+    repeats = repeats or {}
     df = batch[table]
     spark = df.sparkSession
     parts = [row_findings(df, table, batch)]
@@ -333,7 +347,7 @@ def table_findings(batch: SourceTables, table: str) -> DataFrame:
         )
     for spec in TABLES[table]:
         if spec.unique and spec.name in df.columns:
-            parts.append(uniqueness_findings(df, spec.name))
+            parts.append(uniqueness_findings(df, spec.name, repeats.get(table)))
     for fk in FOREIGN_KEYS:
         if fk.table == table and fk.column in df.columns and fk.parent_key in batch[fk.parent].columns:
             parts.append(foreign_key_findings(batch, fk))
@@ -345,12 +359,13 @@ def table_findings(batch: SourceTables, table: str) -> DataFrame:
             and _has(batch, "orders", "order_id", "order_timestamp")
         )
         if quantity or dates:
-            parts.append(return_findings(batch, quantity, dates))
+            parts.append(return_findings(batch, quantity, dates, repeats))
     return reduce(DataFrame.unionByName, parts).withColumn("source_table", F.lit(table))
 
 
 def find_all(batch: SourceTables, load_id: str) -> DataFrame:
-    found = reduce(DataFrame.unionByName, [table_findings(batch, t) for t in SOURCE_TABLES])
+    repeats = stored_repeats(batch)
+    found = reduce(DataFrame.unionByName, [table_findings(batch, t, repeats) for t in SOURCE_TABLES])
     return found.withColumn("load_id", F.lit(load_id)).select(*FINDING_SCHEMA.fieldNames())
 
 

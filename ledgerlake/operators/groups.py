@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.slices import numbered, running_sums
 from ledgerlake.schemas import SOURCE_ROW
+from ledgerlake.session import stored
 
 HOT_GROUP_ROWS = 1_000_000
 MAX_HOT_GROUPS = 50_000
@@ -18,77 +22,87 @@ def _hot_limit(df: DataFrame, rows: int) -> Column:
 
 
 def hot_groups(df: DataFrame, key: str, order: str, rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Groups too large for one task, with the slices to cut them into: ``key, first, width``.
+    """Groups too large for one task, with the rows that a slice of them may have: ``key, slice_rows``.
 
     A group is hot above ``rows`` rows, or above 1/50,000 of the table if that is more, so there
-    are at most 50,000 of them whatever the table's size. Each is cut over its own range of
-    positions into as many slices as it has multiples of that limit: at most 100,000 in all.
+    are at most 50,000 of them whatever the table's size, and 100,000 slices in all.
     """
-    limit = _hot_limit(df, rows)
-    sizes = df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))
-    slices = F.ceil(F.col("n") / limit)
-    width = F.ceil((F.col("last") - F.col("first") + 1) / slices)
-    return sizes.where(F.col("n") > limit).select(key, "first", width.alias("width"))
+    limit = _hot_limit(df, rows).cast("bigint")
+    sizes = df.groupBy(key).agg(F.count(order).alias("n"))
+    return sizes.where(F.col(key).isNotNull() & (F.col("n") > limit)).select(key, limit.alias("slice_rows"))
 
 
-def fill_from_group(df: DataFrame, key: str, order: str, columns: dict[str, Column], hot: DataFrame) -> DataFrame:
-    """Fill NULLs from the nearest earlier row of the group, else from the nearest later one.
+def in_slices(df: DataFrame, key: str, order: str, hot: DataFrame) -> DataFrame:
+    """The rows of the groups in ``hot``, with ``_slice``: slices of a group have ``slice_rows`` rows each, the last one fewer."""
+    sizes = F.broadcast(hot.select(F.col(key).alias("_hot_key"), "slice_rows"))
+    found = numbered(df.join(sizes, F.col(key) == F.col("_hot_key")).drop("_hot_key"), [key], order, "_at")
+    return found.withColumn("_slice", F.floor(F.col("_at") / F.col("slice_rows"))).drop("_at", "slice_rows")
 
-    ``columns`` maps each output column to the value to fill. If nothing precedes a row, the
-    nearest later value is the first value of the whole group, so one sort serves both
-    directions. The groups in ``hot`` are sorted slice by slice; what reaches a slice from the
-    others comes from one summary row per slice. ``hot_groups`` bounds both small tables by a
-    constant, which is why they are broadcast.
-    """
-    names = list(columns)
-    marked = F.broadcast(hot.select(F.col(key).alias("_hot_key"), "first", "width"))
-    position = F.floor((F.col(order) - F.col("first")) / F.col("width"))
-    slice_of = F.when(F.col("width").isNotNull(), position).otherwise(F.lit(0)).cast("bigint")
-    values = df.withColumns({f"_v_{n}": c for n, c in columns.items()})
-    is_key = F.col(key).eqNullSafe(F.col("_hot_key"))
-    sliced = values.join(marked, is_key, "left").withColumn("_slice", slice_of).drop("_hot_key", "first")
 
-    in_order = Window.partitionBy(key, "_slice").orderBy(order)
+def _fills(rows: DataFrame, key: str, order: str, names: list[str], *slice_key: str) -> DataFrame:
+    """For each row the nearest earlier value of its group or slice, else the first one."""
+    in_order = Window.partitionBy(key, *slice_key).orderBy(order)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = sliced.withColumns(
+    return rows.withColumns(
         {f"_back_{n}": F.last(f"_v_{n}", ignorenulls=True).over(so_far) for n in names}
         | {f"_first_{n}": F.first(f"_v_{n}", ignorenulls=True).over(whole) for n in names}
     )
 
+
+def _fills_of_slices(rows: DataFrame, key: str, order: str, names: list[str]) -> DataFrame:
+    """The same for groups in slices; what comes from other slices comes from one summary row per slice."""
     known = lambda which, n: F.expr(
         f"{which}_by(`_v_{n}`, `{order}`) filter (where `_v_{n}` is not null)"
     )
-    summaries = (
-        values.join(marked, is_key, "inner")
-        .withColumn("_slice", slice_of)
-        .groupBy("_hot_key", "_slice")
-        .agg(*[known("min", n).alias(f"_lo_{n}") for n in names], *[known("max", n).alias(f"_hi_{n}") for n in names])
+    summaries = rows.groupBy(F.col(key).alias("_hot_key"), F.col("_slice").alias("_hot_slice")).agg(
+        *[known("min", n).alias(f"_lo_{n}") for n in names], *[known("max", n).alias(f"_hi_{n}") for n in names]
     )
-    slices = Window.partitionBy("_hot_key").orderBy("_slice")
+    slices = Window.partitionBy("_hot_key").orderBy("_hot_slice")
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
     every = slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = summaries.select(
         "_hot_key",
-        F.col("_slice").alias("_hot_slice"),
+        "_hot_slice",
         *[F.last(f"_hi_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in names],
         *[F.first(f"_lo_{n}", ignorenulls=True).over(every).alias(f"_head_{n}") for n in names],
     )
-    same_slice = is_key & (F.col("_slice") == F.col("_hot_slice")) & F.col("width").isNotNull()
-    joined = local.join(F.broadcast(carried), same_slice, "left")
-    filled = {
-        n: F.when(F.col(key).isNull(), F.col(f"_v_{n}")).otherwise(
-            F.coalesce(*[F.col(f"{p}_{n}") for p in ("_back", "_carry", "_first", "_head")])
-        )
-        for n in names
-    }
-    kept = [c for c in df.columns if c not in columns]
-    return joined.select(*kept, *[c.alias(n) for n, c in filled.items()])
+    same_slice = (F.col(key) == F.col("_hot_key")) & (F.col("_slice") == F.col("_hot_slice"))
+    local = _fills(rows, key, order, names, "_slice").join(F.broadcast(carried), same_slice)
+    # Beyond its own slice a row takes from earlier ones first, then from its own, then from any.
+    return local.withColumns(
+        {f"_first_{n}": F.coalesce(f"_carry_{n}", f"_first_{n}", f"_head_{n}") for n in names}
+    )
 
 
-# Buckets of running counts: about 10,000 per factor e, enough to cover all doubles.
-_BUCKETS_PER_E = 10_000
-_ZERO_OFFSET = 10_000_000
+def fill_from_group(df: DataFrame, key: str, order: str, columns: dict[str, Column], hot: DataFrame) -> DataFrame:
+    """Fill NULLs from the nearest earlier row of the group, else from the nearest later one.
+
+    ``columns`` maps each output column to the value to fill; ``order`` tells the rows of a group apart. Rows that lack nothing
+    stay where they are. Of groups in which a row lacks something only the key, the order and the values are sorted; if nothing precedes a
+    row, the nearest later value is the first value of the whole group, so one sort serves both directions. The groups in ``hot`` are cut
+    into slices of equal numbers of rows. ``hot_groups`` bounds their number by a constant, which is why they are broadcast. Rows
+    without a group keep their own values.
+    """
+    names = list(columns)
+    values = df.withColumns({f"_v_{n}": c for n, c in columns.items()})
+    lacks = reduce(Column.__or__, [F.col(f"_v_{n}").isNull() for n in names])
+    asks = lacks & F.col(key).isNotNull()
+    kept = [c for c in df.columns if c not in columns]
+    narrow = values.select(key, order, *[f"_v_{n}" for n in names])
+    hot = stored(hot)
+    asking = narrow.where(asks).select(F.col(key).alias("_asking")).distinct()
+    cold = narrow.join(F.broadcast(hot.select(F.col(key).alias("_hot_key"))), F.col(key) == F.col("_hot_key"), "left_anti")
+    found = _fills(cold.join(asking, F.col(key) == F.col("_asking"), "left_semi"), key, order, names)
+    picked = lambda df: df.where(lacks).select(
+        F.col(key).alias("_of"), F.col(order).alias("_at"), *[F.coalesce(f"_back_{n}", f"_first_{n}").alias(f"_f_{n}") for n in names]
+    )
+    fills = picked(found)
+    if not hot.isEmpty():
+        fills = fills.unionByName(picked(_fills_of_slices(in_slices(narrow, key, order, hot), key, order, names)))
+    complete = values.where(~asks).select(*kept, *[F.col(f"_v_{n}").alias(n) for n in names])
+    filled = values.where(asks).join(fills, (F.col(key) == F.col("_of")) & (F.col(order) == F.col("_at")), "left")
+    return complete.unionByName(filled.select(*kept, *[F.col(f"_f_{n}").alias(n) for n in names]))
 
 
 def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -99,36 +113,10 @@ def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
 def running_counts(counts: DataFrame, key: str, value: str) -> DataFrame:
     """Add ``_upto``, the rows of the group with this or a smaller value, and ``_all``.
 
-    Values fall into logarithmic buckets that keep their order. One window runs over the buckets
-    of a group, another over the values of one bucket; neither sees all values of a large group.
+    Values are dealt out by ranges, cut where their numbers say; no task sees more than one range, however close together the
+    values of a large group lie.
     """
-    number = F.col(value).cast("double")
-    magnitude = lambda x: F.floor(F.ln(x) * _BUCKETS_PER_E) + _ZERO_OFFSET
-    outermost = F.lit(2 * _ZERO_OFFSET)
-    bucket = (
-        F.when(number == float("inf"), outermost)
-        .when(number == float("-inf"), -outermost)
-        .when(number > 0, magnitude(number))
-        .when(number < 0, -magnitude(-number))
-        .otherwise(F.lit(0))
-    )
-    placed = counts.withColumn("_bucket", bucket.cast("bigint"))
-    buckets = Window.partitionBy(key).orderBy("_bucket")
-    starts = (
-        placed.groupBy(key, "_bucket")
-        .agg(F.sum("_n").alias("_size"))
-        .select(
-            key,
-            "_bucket",
-            F.coalesce(F.sum("_size").over(buckets.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
-            F.sum("_size")
-            .over(buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-            .alias("_all"),
-        )
-    )
-    within = Window.partitionBy(key, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.col("_start") + F.sum("_n").over(within)
-    return placed.join(starts, [key, "_bucket"]).withColumn("_upto", upto).drop("_bucket", "_start")
+    return running_sums(counts, [key], value, "_n", "_upto", "_all")
 
 
 def value_at(rank: Column, value: str) -> Column:

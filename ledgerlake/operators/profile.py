@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.exprs import lookup, number_or_null, timestamp_or_null
 from ledgerlake.operators.cleaning import CleaningRules
-from ledgerlake.operators.contracts import rows_with_repeated_key
-from ledgerlake.operators.groups import lookup_where, running_counts, value_at
+from ledgerlake.operators.groups import attach_group_value, lookup_where, running_counts, value_at
 from ledgerlake.operators.groups import value_counts as count_values
 from ledgerlake.schemas import FLAT_COLUMNS, SOURCE_ROW
 
@@ -31,11 +30,20 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def duplicated_rows(df: DataFrame) -> DataFrame:
-    """All copies of rows that occur more than once, including the first. Rows are compared by
-    their JSON text, in which a NULL field is absent and numbers keep all digits."""
+    """All copies of rows that occur more than once, including the first; NULLs count as equal.
+
+    Copies are counted map-side by all their columns. Those that repeat are brought to the rows by a 128-bit digest, the very frequent ones by
+    broadcast, and compared there column by column, so a digest shared by chance adds no row.
+    """
     columns = [c for c in df.columns if c != SOURCE_ROW]
-    keyed = df.withColumn("_row", F.to_json(F.struct(*columns)))
-    return rows_with_repeated_key(keyed, "_row").select(*df.columns)
+    cells = [F.col(c) for c in columns] + [F.col(c).isNull() for c in columns]
+    # A second hash of other content: the first one and the cells in reverse.
+    digest = F.concat_ws(":", F.xxhash64(*cells).cast("string"), F.xxhash64(F.xxhash64(*cells), *reversed(cells)).cast("string"))
+    row = F.struct(*columns)
+    repeats = df.groupBy(*columns).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+    by_digest = repeats.groupBy(digest.alias("_row")).agg(F.collect_list(row).alias("_rows"), F.sum("_n").alias("_n"))
+    known = attach_group_value(df.withColumn("_row", digest), "_row", by_digest, "_rows", "_n")
+    return known.where(F.exists("_rows", lambda r: r.eqNullSafe(row))).select(*df.columns)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

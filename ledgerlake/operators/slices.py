@@ -1,7 +1,7 @@
 """Positions of rows in their group, and windows over long groups, without a task that holds a whole group.
 
-``numbered`` deals rows out by ranges of (group, order): a large group lies in many ranges, whatever its values are, and the rows
-before a range are known from one count per range and group. Positions cut a group into slices of equal numbers of rows.
+Rows are dealt out by ranges of (group, order): a large group lies in many ranges, whatever its values are, and the rows
+before a range are known from one sum per range and group. Positions cut a group into slices of equal numbers of rows.
 ``windowed`` then runs window functions slice by slice, each with a halo of rows from the slices before.
 """
 
@@ -18,22 +18,43 @@ from ledgerlake.session import stored
 SLICE_ROWS = 100_000
 
 
+def _in_ranges(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The rows in ranges of (group, order), written: ``_range``, and ``_place``, which ascends within it."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *keys, order).sortWithinPartitions(*keys, order)
+    return stored(dealt.withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}))
+
+
+def _with_begins(kept: DataFrame, keys: list[str], amount: Column) -> DataFrame:
+    """Add to each row what its group has before its range (``_before``) and as a whole (``_whole``), and ``_first``, its group's first
+    place in the range. There is one such row per range, and one more for each group that begins in it."""
+    sizes = kept.groupBy(*keys, "_range").agg(F.sum(amount).alias("_n"), F.min("_place").alias("_first"))
+    by_range = Window.partitionBy(*keys).orderBy("_range")
+    before = F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1))
+    whole = F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    own = {k: f"_own_{i}" for i, k in enumerate(keys)}
+    begins = sizes.select(
+        *[F.col(k).alias(o) for k, o in own.items()], F.col("_range").alias("_in"), "_first",
+        F.coalesce(before, F.lit(0)).alias("_before"), whole.alias("_whole"),
+    )
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()] + [F.col("_range") == F.col("_in")]
+    return kept.join(begins, same)
+
+
 def numbered(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
     """Add ``name``: 0 for the first row of its group in this order, 1 for the next, and so on; rows of equal order in any order.
 
     Rows of equal group and order meet in one range, so order them by something that tells most rows apart.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(ranges, *keys, order).sortWithinPartitions(*keys, order)
-    kept = stored(dealt.withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}))
-    sizes = kept.groupBy(*keys, "_range").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    # One row per range, and one more for each group that begins in it.
-    own = {k: f"_own_{i}" for i, k in enumerate(keys)}
-    begins = sizes.select(*[F.col(k).alias(o) for k, o in own.items()], F.col("_range").alias("_in"), "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()] + [F.col("_range") == F.col("_in")]
-    position = (F.col("_before") + F.col("_place") - F.col("_first")).alias(name)
-    return kept.join(begins, same).select(*df.columns, position)
+    placed = _with_begins(_in_ranges(df, keys, order), keys, F.lit(1))
+    return placed.select(*df.columns, (F.col("_before") + F.col("_place") - F.col("_first")).alias(name))
+
+
+def running_sums(df: DataFrame, keys: list[str], order: str, amount: str, upto: str, whole: str) -> DataFrame:
+    """Add ``upto``, the sum of ``amount`` over this row and those before it in its group, and ``whole``, that of the group."""
+    placed = _with_begins(_in_ranges(df, keys, order), keys, F.col(amount))
+    here = Window.partitionBy(*keys, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.select(*df.columns, (F.col("_before") + F.sum(amount).over(here)).alias(upto), F.col("_whole").alias(whole))
 
 
 def windowed(

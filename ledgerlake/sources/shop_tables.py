@@ -191,10 +191,9 @@ def pair_keyed_items(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "lineitem").select(_id("L", "l_orderkey", "l_linenumber").alias("line_id"), SOURCE_ROW)
 
 
-def closed_batch(spark: SparkSession, folder: str) -> SourceTables:
+def closed_batch(batch: SourceTables) -> SourceTables:
     """The whole batch, with other keys for orders and shipments after its end date: every row is
     there, and lines and returns that refer to them lack their parents."""
-    batch = shop_batch(spark, folder)
     end, shipped = F.lit(batch.end_date), F.to_date(F.substring_index("line_id", "-", -1), "yyyyMMdd")
 
     def renamed(df: DataFrame, key: str, late: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from functools import cached_property
 from hashlib import sha256
@@ -13,10 +14,10 @@ from ledgerlake.operators import cleaning
 from ledgerlake.operators.contracts import validate_sources
 from ledgerlake.operators.groups import hot_groups
 from ledgerlake.plans import conform, gold, marts
-from ledgerlake.plans.lake import IngestionSummary, Lake
+from ledgerlake.plans.lake import CONCURRENT_WRITES, IngestionSummary, Lake
 from ledgerlake.plans.sheet import writer
 from ledgerlake.schemas import SOURCE_ROW, SOURCE_TABLES, SourceTables
-from ledgerlake.session import apply_runtime_conf, fit_to_input, work_dir
+from ledgerlake.session import apply_runtime_conf, fit_to_input, stored, work_dir
 from ledgerlake.sources import shop_tables
 
 LOAD_ID = "load-0001"
@@ -46,11 +47,15 @@ class Workbench:
 
     @cached_property
     def batch(self) -> SourceTables:
-        return shop_tables.shop_batch(self.spark, self.folder)
+        """The seven source tables as delivered: written files, which contracts and load read several times."""
+        derived = shop_tables.shop_batch(self.spark, self.folder)
+        with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
+            written = pool.map(lambda t: stored(derived[t]), SOURCE_TABLES)
+            return derived.replace(**dict(zip(SOURCE_TABLES, written, strict=True)))
 
     @cached_property
     def closed_batch(self) -> SourceTables:
-        return shop_tables.closed_batch(self.spark, self.folder)
+        return shop_tables.closed_batch(self.batch)
 
     @cached_property
     def load(self) -> IngestionSummary:

@@ -8,8 +8,8 @@ from conftest import as_dicts, table_of
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import number_or_null, strip, timestamp_or_null, title_case
-from ledgerlake.operators import cleaning, kpi, profile
-from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, lookup_where
+from ledgerlake.operators import cleaning, kpi, profile, slices
+from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, in_slices, lookup_where, value_counts
 from ledgerlake.plans.sheet import run_sheet_pipeline
 from ledgerlake.schemas import FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, with_source_row
 
@@ -154,6 +154,40 @@ def test_fill_is_the_same_whether_groups_are_sliced_or_not(spark, limit):
     assert sorted((tuple(r) for r in result.select("k", "i", "v").collect()), key=repr) == neighbours(rows)
 
 
+def test_slices_have_equal_numbers_of_rows(spark):
+    """One row far from all others: slices are cut by rows, not by positions."""
+    rows = [("k", 0, None)] + [("k", 1_000_000 + i, "x" if i == 150 else None) for i in range(200)] + [("cold", 5, None)]
+    df = spark.createDataFrame(rows, "k string, i long, v string")
+    hot = hot_groups(df, "k", "i", 10)
+    sizes = [r["count"] for r in in_slices(df, "k", "i", hot).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 201 and max(sizes) == 10 and len(sizes) == 21
+    result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot)
+    assert sorted((tuple(r) for r in result.select("k", "i", "v").collect()), key=repr) == neighbours(rows)
+
+
+def test_only_groups_that_lack_something_are_sorted(spark):
+    """Complete rows pass beside the window, and a group without gaps never reaches it."""
+    rows = [(f"k{i % 50}", i, None if i in (7, 57) else "x") for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, i long, v string").withColumn("other", F.lit(1))
+    result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot_groups(df, "k", "i", 1000))
+    assert result.count() == 500 and result.where("v is null").count() == 0
+    window = next(line for line in result._jdf.queryExecution().analyzed().toString().splitlines() if "Window" in line)
+    assert "other" not in window
+
+
+def test_close_values_are_ranked_in_many_ranges(spark):
+    """Values within 0.01 % of each other are dealt out by their number, and rank as in plain Python."""
+    df = spark.range(20_000).select(F.lit("a").alias("g"), (10_000_000 + F.col("id") % 1000).cast("decimal(18,4)").alias("x"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        dealt = slices._in_ranges(value_counts(df, "g", "x"), ["g"], "x")
+        assert max(r["count"] for r in dealt.groupBy("_range").count().collect()) < 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert exact_median(df, "g", "x").first()["median"] == D("10000499.5")
+
+
 def test_rows_without_a_group_keep_their_own_value(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), ("k", 3, "b")], "k string, i long, v string")
     for limit in (1, 100):
@@ -270,7 +304,9 @@ def test_profile(spark):
     assert {r["column_name"]: r["missing"] for r in profile.missing_values(raw).collect()} == {
         "City": 2, "Payment_Method": 1, "Discount_Rate": 1,
     }
-    assert sorted(r["_source_row"] for r in profile.duplicated_rows(raw).collect()) == [0, 22]
+    duplicates = profile.duplicated_rows(raw)
+    assert sorted(r["_source_row"] for r in duplicates.collect()) == [0, 22]
+    assert "to_json" not in duplicates._jdf.queryExecution().toString()
     counts = {r["value"]: r["n"] for r in profile.value_counts(raw, "City").collect()}
     assert (counts[None], counts["Austin"]) == (2, 19)
     assert profile.column_conformance(raw.drop("City").withColumn("Extra", F.lit(1))) == {"missing": ["City"], "unexpected": ["Extra"]}
