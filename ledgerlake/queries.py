@@ -19,6 +19,7 @@ from ledgerlake.workbench import Workbench
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = {t: next(f.name for f in TABLES[t] if f.unique) for t in SOURCE_TABLES}
 _REGISTRY: dict[str, Query] = {}
+_BUILDS: dict[str, Callable[[Workbench], DataFrame]] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -38,6 +39,7 @@ def _register(name: str, build: Callable[[Workbench], DataFrame]) -> None:
         return _plain(build(Workbench.of(spark, folder)))
 
     _REGISTRY[name] = query
+    _BUILDS[name] = build
 
 
 def query(build: Callable[[Workbench], DataFrame]) -> Callable[[Workbench], DataFrame]:
@@ -550,3 +552,25 @@ def signal_returns(w: Workbench) -> DataFrame:
 @query
 def signal_cross_week(w: Workbench) -> DataFrame:
     return signals.cross_week_returns(w.gold["fact_returns"], w.gold["dim_date"])
+
+
+# --- the batch with defects -----------------------------------------------------------------------
+
+#: Queries whose rules find little or nothing in the batch as it is.
+ON_DAMAGED = (
+    *_COUNTED,
+    "contract_findings",
+    "contract_summary",
+    "contract_accepted",
+    "validation_failures",
+    "ingestion_audit",
+    *[f"int_{t}" for t in conform.CONFORMED_TABLES],
+    "int_rejected_records",
+    "check_layers",
+    "check_item_values",
+    "check_item_parents",
+    "check_return_quantities",
+    "mart_executive",
+)
+for _name in ON_DAMAGED:
+    _register(f"damaged_{_name}", partial(lambda w, build: build(w.damaged), build=_BUILDS[_name]))

@@ -278,3 +278,54 @@ def flat_sheet(spark: SparkSession, folder: str) -> DataFrame:
         *[columns[name].alias(name) for name in FLAT_COLUMNS],
         F.explode(positions).alias(SOURCE_ROW),
     )
+
+
+# --- the same batch with every kind of defect ---------------------------------------------------
+
+#: Single rows whose key is lost. More than one would count as a repeated key, and lookups by that key would be skipped.
+LOST_KEY_ROW = 17
+#: By table: every how many rows a defect comes, and (place, column, value) of each; values are SQL over the row.
+DEFECTS = {
+    "customers": (53, (
+        (1, "customer_id", "NULL"), (2, "signup_date", "NULL"), (3, "home_city", "NULL"), (4, "segment", "NULL"), (5, "customer_id", "'C-1'"),
+        (6, "segment", "'Nobody'"), (7, "signup_date", "DATE '2099-01-01'"),
+    )),
+    "products": (53, (
+        (1, "product_id", "NULL"), (2, "name", "NULL"), (3, "category", "NULL"), (4, "base_price", "NULL"), (5, "base_cost", "NULL"),
+        (6, "base_price", "0"), (7, "base_cost", "-1"), (8, "base_cost", "base_price + 1"), (9, "product_id", "'P-1'"),
+    )),
+    "orders": (211, (
+        (2, "customer_id", "NULL"), (3, "order_timestamp", "NULL"), (4, "channel", "NULL"), (5, "payment_method", "NULL"), (6, "channel", "'Fax'"),
+        (7, "payment_method", "'Barter'"), (8, "order_timestamp", "DATE '2099-01-01'"), (9, "customer_id", "'nobody'"), (10, "promotion_id", "'PROMO-none'"),
+    )),
+    "order_items": (211, (
+        (2, "order_id", "NULL"), (3, "product_id", "NULL"), (4, "quantity", "NULL"), (5, "unit_price", "NULL"), (6, "unit_cost", "NULL"),
+        (7, "discount_rate", "NULL"), (8, "quantity", "0"), (9, "unit_price", "-1"), (10, "unit_cost", "0"), (11, "unit_cost", "unit_price + 1"),
+        (12, "discount_rate", "1.5"), (13, "order_id", "'none'"), (14, "product_id", "'none'"),
+    )),
+    "returns": (53, (
+        (1, "return_id", "NULL"), (2, "line_id", "NULL"), (3, "return_date", "NULL"), (4, "returned_quantity", "NULL"), (5, "reason", "NULL"),
+        (6, "returned_quantity", "0"), (7, "reason", "'Lost'"), (8, "returned_quantity", "100000"), (9, "return_date", "DATE '1990-01-01'"),
+        (10, "line_id", "'none'"), (11, "return_date", "DATE '2099-01-01'"), (12, "return_id", "'R-1'"),
+    )),
+    "promotions": (7, (
+        (1, "discount_policy", "1.5"), (2, "end_date", "date_add(start_date, -10)"), (3, "promotion_type", "NULL"), (4, "start_date", "DATE '2099-01-01'"),
+    )),
+    "calendar_events": (397, ((1, "seasonal_event", "NULL"), (2, "seasonal_event", "'Monsoon'"))),
+}
+
+
+def damaged_batch(batch: SourceTables) -> SourceTables:
+    """Every row of the batch, some with a defect: at least one for each rule on values, keys, pairs, parents and lookups."""
+    changed = {}
+    for table, (every, defects) in DEFECTS.items():
+        df = batch[table]
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+        cases: dict[str, str] = {}
+        for place, column, value in defects:
+            cases[column] = cases.get(column, "") + f" WHEN {SOURCE_ROW} % {every} = {place} THEN CAST({value} AS {kinds[column]})"
+        for lost, column in (("orders", "order_id"), ("order_items", "line_id")):
+            if lost == table:
+                cases[column] = cases.get(column, "") + f" WHEN {SOURCE_ROW} = {LOST_KEY_ROW} THEN NULL"
+        changed[table] = df.withColumns({c: F.expr(f"CASE{when} ELSE `{c}` END") for c, when in cases.items()})
+    return batch.replace(**changed)

@@ -57,6 +57,14 @@ class Workbench:
     def closed_batch(self) -> SourceTables:
         return shop_tables.closed_batch(self.batch)
 
+    @cached_property
+    def damaged(self) -> Workbench:
+        """Another lake, loaded from the same batch with defects."""
+        other = Workbench(self.spark, self.folder, f"{self.root}/damaged")
+        broken = shop_tables.damaged_batch(self.batch)
+        other.batch = broken.replace(**{t: stored(broken[t]) for t in SOURCE_TABLES})
+        return other
+
     @cached_property
     def load(self) -> IngestionSummary:
         return self.lake.ingest(self.batch, validate_sources(self.batch, LOAD_ID), LOAD_ID)

@@ -7,7 +7,7 @@ import re
 from ledgerlake.operators.quality import declared_tests
 from ledgerlake.sources.shop_tables import SEGMENTS
 from ledgerlake.schemas import Vocabulary
-from oracle import analyses
+from oracle import analyses, damage
 from oracle import tables as t
 
 CTE = t.CTE | analyses.TABLES
@@ -16,18 +16,17 @@ _SHARED = {"li", "findings", "stg_order_items", "int_orders", "int_order_items",
 _SHARED |= analyses.SHARED
 
 
-def with_tables(final: str) -> str:
+def with_tables(final: str, tables: dict[str, str] = CTE) -> str:
     """Prefix a statement with the definitions it needs, directly or through others."""
     needed: set[str] = set()
     queue = [final]
     while queue:
         words = set(re.findall(r"\w+", queue.pop()))
-        for name in words & set(CTE) - needed:
+        for name in words & set(tables) - needed:
             needed.add(name)
-            queue.append(CTE[name])
-    used = [
-        f"{name} AS {'MATERIALIZED ' if name in _SHARED else ''}({CTE[name]})" for name in CTE if name in needed
-    ]
+            queue.append(tables[name])
+    shared = lambda name: name in _SHARED or name.startswith(("src_", "stg_", "int_"))
+    used = [f"{name} AS {'MATERIALIZED ' if shared(name) else ''}({tables[name]})" for name in tables if name in needed]
     if not used:
         return final
     own = final.lstrip()
@@ -115,7 +114,7 @@ def statements() -> dict[str, str]:
     q["contract_positive"] = _value_counts_of("_positive")
     q["contract_range"] = _value_counts_of("_between_zero_and_one", "_in_range", "_on_or_before_batch_end")
     q["contract_cross_field"] = _counts(
-        (table, check, f"{low},{high}", f"{low} > {high}") for table, check, low, high in t.PAIRS
+        (table, check, f"{low},{high}", f"{low} > {high} AND {t.complete(table)}") for table, check, low, high in t.PAIRS
     )
     q["contract_unique"] = """
 SELECT rn AS source_row, 'field_uniqueness' AS check_name, 'line_id' AS column_name, k AS failure_case,
@@ -393,4 +392,6 @@ SELECT count(*) AS cross_week_returns
 FROM fact_returns JOIN dim_date o ON o.date_key = order_date_key JOIN dim_date r ON r.date_key = return_date_key
 WHERE date_trunc('week', o.full_date) <> date_trunc('week', r.full_date)"""
     q |= analyses.statements()
-    return {name: with_tables(sql) for name, sql in q.items()}
+    broken = damage.damaged_tables(CTE)
+    damaged = {f"damaged_{name}": with_tables(q[name], broken) for name in damage.QUERIES}
+    return {name: with_tables(sql) for name, sql in q.items()} | damaged

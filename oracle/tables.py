@@ -165,14 +165,20 @@ def foreign_key_sql(table: str, check: str, column: str, parent: str, child_from
 
 
 def _unique(table: str, key: str) -> str:
-    return f"(SELECT count(*) = count(DISTINCT {key}) FROM {table})"
+    """Repeated NULLs are repeats too."""
+    return f"(SELECT coalesce(max(n), 0) <= 1 FROM (SELECT count(*) AS n FROM {table} GROUP BY {key}))"
+
+
+def complete(table: str, alias: str = "") -> str:
+    """Rules on several columns judge rows without any NULL."""
+    return " AND ".join(f"{alias}{c} IS NOT NULL" for c in NOT_NULL[table])
 
 
 def return_quantity_sql(items: str) -> str:
     case = "'returned_quantity=' || returned_quantity || ', line_id=''' || r.line_id || ''''"
     source = (
         f"src_returns r LEFT JOIN {items} i ON i.line_id = r.line_id "
-        f"WHERE {_unique(items, 'line_id')} AND (i.quantity IS NULL OR r.returned_quantity > i.quantity)"
+        f"WHERE {complete('returns', 'r.')} AND {_unique(items, 'line_id')} AND (i.quantity IS NULL OR r.returned_quantity > i.quantity)"
     )
     sql = _finding("returns", "returned_quantity_lte_ordered", "returned_quantity,line_id", case, source)
     return sql.replace("CAST(_source_row", "CAST(r._source_row")
@@ -182,7 +188,7 @@ def return_date_sql(items: str, orders: str) -> str:
     case = "'return_date=' || r.return_date || ', line_id=''' || r.line_id || ''''"
     source = (
         f"src_returns r LEFT JOIN {items} i ON i.line_id = r.line_id LEFT JOIN {orders} o ON o.order_id = i.order_id "
-        f"WHERE {_unique(items, 'line_id')} AND {_unique(orders, 'order_id')} "
+        f"WHERE {complete('returns', 'r.')} AND {_unique(items, 'line_id')} AND {_unique(orders, 'order_id')} "
         "AND (o.order_timestamp IS NULL OR r.return_date < CAST(o.order_timestamp AS DATE))"
     )
     sql = _finding("returns", "return_date_on_or_after_order", "return_date,line_id", case, source)
@@ -197,7 +203,7 @@ def _all_findings() -> str:
         parts.append(_finding(t, check, c, f"CAST({c} AS VARCHAR)", f"src_{t} WHERE NOT ({ok.format(c=c)})"))
     for t, check, low, high in PAIRS:
         case = f"'{low}=' || {low} || ', {high}=' || {high}"
-        parts.append(_finding(t, check, f"{low},{high}", case, f"src_{t} WHERE {low} > {high}"))
+        parts.append(_finding(t, check, f"{low},{high}", case, f"src_{t} WHERE {low} > {high} AND {complete(t)}"))
     for t, key in KEYS.items():
         repeated = f"SELECT {key} FROM src_{t} GROUP BY {key} HAVING count(*) > 1"
         parts.append(_finding(t, "field_uniqueness", key, f"CAST({key} AS VARCHAR)", f"src_{t} WHERE {key} IN ({repeated})"))
