@@ -9,7 +9,7 @@ Documents of equal sets form one node from the start. Half keys that only one no
 dropped before pairs of halves are formed. Within a bucket not all pairs are compared: every node is compared on the full sets with
 the bucket's smallest one, then with others of its buckets as long as they are in another component; pairs inside one
 component cannot change the result. What is left, pairs between components that share a bucket, is compared completely: nodes
-without a link pair by pair, nodes with a component in blocks.
+of buckets of up to FEW pair by pair, all others in blocks, out of which only links come.
 
 Defined results: A-Z are lower-cased. NULL, empty and blank texts have an empty set and are linked with nothing; texts of one to
 four words have one shingle. Repeated rows are copies of each other. A NULL doc_id is larger than every other and
@@ -35,6 +35,8 @@ SIMILAR = 75
 HALVES = 12
 STAR_ROUNDS = 1
 BLOCK = 256
+#: Nodes in buckets of up to this many are paired row by row; larger buckets are compared in blocks.
+FEW = 4
 _PER_HALF = 2
 _DRAW = np.random.default_rng(75)
 _FLIP = _DRAW.integers(0, 2**63, 2 * HALVES * _PER_HALF, dtype=np.uint64)
@@ -163,68 +165,77 @@ def _links(nodes: DataFrame, texts: DataFrame, tables: DataFrame) -> DataFrame:
         best = written(best)
         links, tried = links.union(verified(best, texts)), tried.union(best)
         roots = components(links)
-    open_rows = written(_contested(tables, roots))
-    clusters = written(roots.groupBy("root").agg((F.count("*") + 1).alias("size")))
-    rest = written(_single_pairs(open_rows.join(clusters, open_rows.label == clusters.root, "left_anti"), sketch).join(tried, ["a", "b"], "left_anti"))
-    links = links.union(verified(rest, texts)).union(_cluster_links(open_rows, roots, clusters, texts))
-    return components(links)
+    open_rows = _contested(tables, roots)
+    sizes = written(open_rows.groupBy("key").agg(F.count("*").alias("n")))
+    few = open_rows.join(sizes.where(F.col("n") <= FEW).select("key"), "key", "left_semi")
+    many = open_rows.join(sizes.where(F.col("n") > FEW).select("key"), "key", "left_semi").select("key", "node", "label")
+    rest = written(_single_pairs(few, sketch).join(tried, ["a", "b"], "left_anti"))
+    return components(links.union(verified(rest, texts)).union(_block_links(written(many), texts)))
 
 
-def _single_pairs(open_rows: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Pairs of nodes without any link so far that share a table, each from the first table in which it meets."""
-    rows = written(open_rows.join(sketch, "node"))
-    x, y = (rows.select("key", "i", "j", *(F.col(c).alias(c + s) for c in ("node", "n_shingles", "minima"))) for s in ("_a", "_b"))
-    agree = F.zip_with("minima_a", "minima_b", lambda p, q: p == q)
-    fits = (F.col("node_a") < F.col("node_b")) & _may_link("n_shingles_a", "n_shingles_b")
-    first = (_half_equal(0, agree) == F.col("l.i") + 1) & (_half_equal(1, agree) == F.col("l.j") + 1)
-    pairs = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & fits & first)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
-def _cluster_links(open_rows: DataFrame, roots: DataFrame, clusters: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between the members of a component and nodes outside it that share a table with one of them.
+def _block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between nodes of different components that share a bucket of more than FEW: enough of them to join what is linked.
 
-    Members and outside nodes are cut into blocks of about BLOCK documents, and each pair of blocks is a group of its own; only links
-    leave it, one per outside node. So a large component meets many strays without a row for every pair.
+    Nodes of one family, those whose buckets lead to the same smallest node, are cut into blocks of about BLOCK. Two blocks are compared if
+    some bucket holds nodes of both, each such pair of blocks in a task of its own, on full sets. A row is made for each node of a pair of blocks
+    and for each link of a spanning forest, none for a pair of nodes.
     """
-    at = open_rows.select("key", "label").distinct().join(clusters.select(F.col("root").alias("label")), "label").select("key", F.col("label").alias("cluster"))
-    met = open_rows.select("key", "node", "label").join(written(at), "key")
-    single = clusters.select(F.col("root").alias("label"), F.lit(True).alias("is_cluster"))
-    asked = met.where("label <> cluster").select("node", "label", "cluster").distinct().join(single, "label", "left")
-    asked = written(asked.where("is_cluster IS NULL OR label < cluster").select("node", "cluster"))
-    shape = asked.groupBy("cluster").agg(F.count("*").alias("n")).join(clusters, F.col("cluster") == F.col("root"))
-    shape = written(shape.select("cluster", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("n") / BLOCK).cast("int").alias("asks")))
-    members = roots.select("node", F.col("root").alias("cluster")).union(clusters.select("root", "root"))
-
-    def dealt(rows: DataFrame, own: str, other: str, inside: bool) -> DataFrame:
-        rows = rows.join(shape, "cluster").withColumn(own, F.pmod(F.xxhash64("node"), F.col(own + "s")).cast("int"))
-        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)))
-        return rows.select("cluster", "block", "ask", "node", F.lit(inside).alias("inside"))
-
-    both = dealt(members, "block", "ask", True).unionByName(dealt(asked, "ask", "block", False))
+    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"))
+    families = written(rows.join(hubs, "key").groupBy("node").agg(F.min("hub").alias("family"), F.first("label").alias("label")))
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    blocks = written(families.join(sizes, "family").select("node", "label", block.alias("block")))
+    in_bucket = written(rows.select("key", "node").join(blocks, "node").select("key", "block").distinct())
+    one, other = (in_bucket.select("key", F.col("block").alias(c)) for c in ("one", "two"))
+    pairs = written(one.join(other, "key").where("one <= two").select("one", "two").distinct())
+    sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    members = sides.join(blocks, "block").join(texts, "node")
 
     def compare(group: pa.Table) -> pa.Table:
-        order = np.argsort(~group.column("inside").to_numpy(), kind="stable")
-        group = group.take(pa.array(order))
-        n_in = int(np.sum(group.column("inside").to_numpy()))
         row, names, n = shingle_sets(pa.concat_arrays(group.column("text").chunks))
-        sizes, nodes = np.bincount(row, minlength=n), group.column("node").to_numpy()
-        cut = int(np.searchsorted(row, n_in))
-        by_name = np.argsort(names[:cut], kind="stable")
-        known, holder = names[:cut][by_name], row[:cut][by_name]
-        pairs: list[tuple[int, int]] = []
-        for z in range(n_in, n):
-            mine = names[np.searchsorted(row, z) : np.searchsorted(row, z, side="right")]
-            low, high = np.searchsorted(known, mine), np.searchsorted(known, mine, side="right")
-            times = high - low
+        nodes, sizes = group.column("node").to_numpy(), np.bincount(row, minlength=n)
+        first = (group.column("block").to_numpy() == group.column("one").to_numpy()) | (group.column("one").to_numpy() == group.column("two").to_numpy())
+        inner = group.column("one")[0].as_py() == group.column("two")[0].as_py()
+        _, alike = np.unique(group.column("label").to_numpy(), return_inverse=True)
+        _, head = np.unique(alike, return_index=True)
+        root = head[alike].tolist()  # nodes of one component are joined from the start
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        forest: list[tuple[int, int]] = []
+        order = np.argsort(names, kind="stable")
+        order = order[first[row[order]]]
+        known, holder = names[order], row[order]
+        begins = np.searchsorted(row, np.arange(n + 1))
+        for z in range(n) if inner else np.flatnonzero(~first):
+            mine = names[begins[z] : begins[z + 1]]
+            low = np.searchsorted(known, mine)
+            times = np.searchsorted(known, mine, side="right") - low
             held = holder[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())]
-            both = np.bincount(held, minlength=n_in)
-            near = np.flatnonzero((both > 0) & (100 * both >= SIMILAR * (sizes[:n_in] + sizes[z] - both)))
-            if len(near):
-                pairs.append((nodes[near[0]], nodes[z]))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+            both = np.bincount(held, minlength=n)
+            both[z] = 0
+            for x in np.flatnonzero((both > 0) & (100 * both >= SIMILAR * (sizes + sizes[z] - both))):
+                if find(int(x)) != find(int(z)):
+                    root[find(int(x))] = find(int(z))
+                    forest.append((int(min(nodes[x], nodes[z])), int(max(nodes[x], nodes[z]))))
+        return pa.table({"a": pa.array([p[0] for p in forest], pa.int64()), "b": pa.array([p[1] for p in forest], pa.int64())})
 
-    return written(both.join(texts, "node").groupBy("cluster", "block", "ask").applyInArrow(compare, "a bigint, b bigint"))
+    return written(members.groupBy("one", "two").applyInArrow(compare, "a bigint, b bigint"))
+
+
+def _single_pairs(open_rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components that share a bucket of few nodes, each from the first table in which it meets."""
+    rows = written(open_rows.join(sketch, "node"))
+    x, y = (rows.select("key", "i", "j", *(F.col(c).alias(c + s) for c in ("node", "label", "n_shingles", "minima"))) for s in ("_a", "_b"))
+    agree = F.zip_with("minima_a", "minima_b", lambda p, q: p == q)
+    fits = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & _may_link("n_shingles_a", "n_shingles_b")
+    first = (_half_equal(0, agree) == F.col("l.i") + 1) & (_half_equal(1, agree) == F.col("l.j") + 1)
+    pairs = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & fits & first)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _may_link(n_a: str, n_b: str) -> Column:

@@ -95,6 +95,53 @@ def test_near_duplicates_of_a_chain_and_a_large_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(d) for d in sets})
 
 
+def partly_linked_copies(n, seed=6):
+    """Copies of one text, each with some words of its own: of two copies, many share tables and few are links."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(120)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(2, 5)):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_nodes_without_links_are_compared_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rows = partly_linked_copies(120)
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(116)} for d, t in rows}
+    texts = spark.createDataFrame(rows, "node bigint, text string")
+    keys = spark.createDataFrame([(k, d, d) for d, _ in rows for k in range(3) if (d + k) % 2], "key bigint, node bigint, label bigint")
+    found = {(r.a, r.b) for r in minhash._block_links(keys, texts).collect()}
+    linked = {(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert found <= linked
+
+    def roots(links):
+        root = {d: d for d in sets}
+        for _ in sets:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    share = {(a, b) for a, b in linked if any((a + k) % 2 and (b + k) % 2 for k in range(3))}
+    assert roots(found) == roots(share | found) and len(found) < 20 * len(sets)
+
+
+def test_rows_stay_linear_in_a_group_of_partial_copies(spark):
+    """Rows that leave a comparison are links of a forest per pair of blocks: twice the copies do not make four times the rows."""
+    made = {}
+    for n in (150, 300):
+        rows = partly_linked_copies(n)
+        texts = spark.createDataFrame(rows, "node bigint, text string")
+        keys = spark.createDataFrame([(k, d, d) for d, _ in rows for k in range(4)], "key bigint, node bigint, label bigint")
+        made[n] = minhash._block_links(keys, texts).count()
+    assert 0 < made[300] <= 2.5 * max(made[150], 100)
+
+
 def test_pairs_of_one_table_are_not_dropped_by_minhashes(spark):
     """Two nodes that agree in the four minhashes of one table and in no others still get to the full sets."""
     one, other = list(range(48)), [k if k in (0, 1, 24, 25) else 100 + k for k in range(48)]
@@ -447,6 +494,27 @@ def test_pipeline_equals_brute_force(spark, full):
     assert max(Counter(ids).values()) <= 3 and found[-1].start + found[-1].n_tokens == sum(len(r.ids) for r in found)
 
 
+def test_words_of_two_letters_in_a_pattern_are_told_apart(spark):
+    """Two words of 1,024 letters that a sum of powers modulo 2^64 cannot tell apart, in words, lines, shingles and windows."""
+    from tokenizers import Tokenizer
+
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate({97: 98, 98: 97})
+    two = one.translate({97: 98, 98: 97})
+    filler = " ".join(f"w{i}" for i in range(49))
+    texts = [f"{one} {two} {one}", f"{one}\n{two}\n{one}", f"{one} x y z u", f"{two} x y z u", f"{filler} {one}", f"{filler} {two}"]
+    texts += [f"{one}\n{two}"] * 3
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], h.SCHEMA)
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    for r in tokens.encoded(docs).collect():
+        assert r.ids == plain.encode(texts[r.doc_id], add_special_tokens=False).ids + [2]
+    path = h.folder(spark, _new_folder(), [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    for name in ("op2_quality_rules", "op6_line_dedup", "op7_minhash_near_dedup", "op9_substring_dedup"):
+        columns, rows = h.by_sql(path, queries.statements()[name])
+        h.same_rows(queries.registered()[name](spark, path), columns, rows)
+
+
 def test_shared_names_of_texts():
     """Hashes do not depend on where a text lies in its batch."""
     texts = ["b c", None, "a b c", "", "é a"]
