@@ -74,7 +74,7 @@ def suspects(docs: DataFrame, min_chars: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tag", "key"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_arrow(docs.select("doc_id", row_tag().alias("tag"), "text"), step, f"doc_id {kind}, tag int, key string")
+    return map_arrow(docs.select("doc_id", row_tag().alias("tag"), "text"), step, f"doc_id {kind}, tag bigint, key string")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import components
-from ledgerlake.llm.shared import documents, free_names, map_arrow, pieces, row_tag, written
+from ledgerlake.llm.shared import documents, free_names, map_arrow, pieces, row_tag, under_plain_names, written
 from ledgerlake.llm.words import Text, Words, distinct_in_rows, mix
 
 SHINGLE = 5
@@ -84,7 +84,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tag", "n_shingles", "set_a", "set_b", "minima"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, tag int, n_shingles bigint, set_a bigint, set_b bigint, minima array<int>"
+    schema = f"doc_id {kind}, tag bigint, n_shingles bigint, set_a bigint, set_b bigint, minima array<int>"
     return map_arrow(docs.select("doc_id", row_tag().alias("tag"), "text"), step, schema)
 
 
@@ -276,6 +276,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+@under_plain_names
 def keep_leaders(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns; of equal rows with equal doc_id one stays. Empty texts all stay."""
     own_id, own_tag, size, row = free_names(docs, "own_id", "own_tag", "size", "row")

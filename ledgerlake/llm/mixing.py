@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.shared import before, documents, free_names, row_tag, written
+from ledgerlake.llm.shared import before, documents, free_names, row_tag, under_plain_names, written
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -134,6 +134,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return judged.drop("s").join(goal, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "tag", "size", "source_size", "target", "copies")
 
 
+@under_plain_names
 def take_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
     own_id, own_tag, times, row, copy = free_names(docs, "own_id", "own_tag", "times", "row", "copy")

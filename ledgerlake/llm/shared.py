@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,7 +40,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_tag(text: str = "text") -> Column:
     """Tells rows of one doc_id apart by their text; rows equal in both get equal results everywhere."""
-    return F.hash(F.col(text))
+    return F.xxhash64(F.col(text))
+
+
+def under_plain_names(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For stages that return the columns of their input: runs them under names without dots, which Spark would take for paths into structs."""
+
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        plain: list[str] = [c for c in docs.columns if "." not in c and "`" not in c]
+        taken = {c.lower() for c in plain}
+        names = []
+        for c in docs.columns:
+            if c not in plain:
+                c = c.replace(".", "_").replace("`", "_")
+                while c.lower() in taken:
+                    c = f"_{c}"
+                taken.add(c.lower())
+            names.append(c)
+        return stage(docs.toDF(*names), *args, **kwargs).toDF(*docs.columns)
+
+    return run
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:

@@ -121,7 +121,7 @@ def shared_filter(docs: DataFrame) -> np.ndarray:
 
 #: Windows a task gathers before it sets aside those it knows to be repeats.
 FLUSH_WINDOWS = 1 << 20
-_PLACED = "part int, key bigint, more int, id bigint, tag int, at int, ats array<int>"
+_PLACED = "part int, key bigint, more int, id bigint, tag bigint, at int, ats array<int>"
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
         return key[-1], more[-1], low[-1]
 
     dealt = windows.repartition("part").sortWithinPartitions("part", "key", "more", "id")
-    return dealt.mapInArrow(judge, "i bigint, t int, ats array<int>")
+    return dealt.mapInArrow(judge, "i bigint, t bigint, ats array<int>")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
