@@ -1,7 +1,8 @@
 """Quality rules as a ledger of bits: every rule is evaluated once per document, policies are masks over the bits.
 
 ``ledger`` keeps the measurements and one failure bit per rule. A policy is a version number and the set of rules that
-reject; applying another version, or asking what a rule alone costs, needs the bits only and never the texts again.
+reject; applying another version, or asking what a rule alone costs, needs the bits only and never the texts again. The pipeline's
+stage writes the ledger beside the rows and filters by the stored bits.
 
 Defined results: NULL, empty and blank texts have no words and fail ``few_words``. Repeated rows are judged each on its
 own. Other columns of the input play no part, whatever their names; an empty table gives an empty ledger.
@@ -15,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerlake.llm.shared import documents, map_arrow
+from ledgerlake.llm.shared import documents, map_arrow, under_plain_names, written
 from ledgerlake.llm.words import Lines, Text, Words, distinct_in_rows, span_hashes
 
 WINDOW = 8
@@ -25,6 +27,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_letters")
 
+#: ``capitals`` judges texts that are written in A-Z for at least half of their signs: a word like NASA says nothing about a text in Cyrillic.
 #: Rule i owns bit i; new rules go to the end, so stored ledgers keep their meaning.
 RULES = {
     "few_words": "n_words < 20",
@@ -32,7 +35,7 @@ RULES = {
     "many_symbols": "10 * n_symbols > 2 * n_words",
     "repeated_lines": "n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines",
     "odd_word_length": "word_chars < 2 * n_words OR word_chars > 20 * n_words",
-    "capitals": "n_letters > 0 AND 100 * n_capitals > 60 * n_letters",
+    "capitals": "2 * n_letters >= word_chars AND n_letters > 0 AND 100 * n_capitals > 60 * n_letters",
 }
 _NAMES = tuple(RULES)
 POLICIES = {1: ("few_words", "repeated_words"), 2: _NAMES}
@@ -83,16 +86,16 @@ def _repeated(row: np.ndarray, value: np.ndarray) -> np.ndarray:
     return order[np.concatenate(([False], same)) | np.concatenate((same, [False]))] if len(order) else order
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements, and ``failed_bits``: bit i is set if rule i of RULES fails."""
+def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keys``, the measurements, and ``failed_bits``: bit i is set if rule i of RULES fails."""
 
     def step(piece: pa.RecordBatch):
         found = measure(piece.column("text"))
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *(pa.array(found[m], pa.int64()) for m in MEASURES)], names=["doc_id", *MEASURES])
+        columns = [*(piece.column(k) for k in keys), *(pa.array(found[m], pa.int64()) for m in MEASURES)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*keys, *MEASURES])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    measured = map_arrow(docs.select("doc_id", "text"), step, f"doc_id {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES))
-    return measured.withColumn("failed_bits", _bits())
+    schema = StructType([*(docs.schema[k] for k in keys), *(StructField(m, LongType()) for m in MEASURES)])
+    return map_arrow(docs.select(*dict.fromkeys((*keys, "text"))), step, schema).withColumn("failed_bits", _bits())
 
 
 def _bits() -> Column:
@@ -121,29 +124,30 @@ def ablation(book: DataFrame, version: int = CURRENT) -> DataFrame:
     return one.select(F.expr(f"stack({len(rules)}, {rows}) AS (rule, rejected, rejected_alone, kept_without)"), F.col("all").alias("n_docs"))
 
 
-def keep_good(docs: DataFrame, version: int = CURRENT) -> DataFrame:
-    """The rows a policy keeps, with all their columns."""
-    rejecting, small = mask(POLICIES[version]), docs.schema
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each column ``c`` as ``doc_c``, beside their measurements and bits, written to the shared folder.
 
-    def step(piece: pa.RecordBatch):
-        found = measure(piece.column("text"))
-        bits = np.zeros(piece.num_rows, np.int64)
-        for i, rule in enumerate(_NUMPY_RULES):
-            bits |= rule(found).astype(np.int64) << i
-        yield piece.filter(pa.array((bits & rejecting) == 0))
-
-    return map_arrow(docs, step, small)
-
-
-#: RULES again over arrays, for filters that pass whole rows through one Python step; a test holds the two together.
-_NUMPY_RULES = (
-    lambda m: m["n_words"] < 20,
-    lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"],
-    lambda m: 10 * m["n_symbols"] > 2 * m["n_words"],
-    lambda m: (m["n_lines"] >= 4) & (100 * m["n_dup_lines"] > 50 * m["n_lines"]),
-    lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 20 * m["n_words"]),
-    lambda m: (m["n_letters"] > 0) & (100 * m["n_capitals"] > 60 * m["n_letters"]),
-)
+    Rows are measured once. Any policy, also a later one, and every ablation come from this table; as rows and bits are stored together,
+    applying a policy needs neither the rules nor a join.
+    """
+    names = _beside(docs.columns)
+    return written(ledger(docs.toDF(*names), tuple(names)))
+
+
+def _beside(columns: list[str]) -> list[str]:
+    """Names that no measurement has."""
+    return [c if c == "text" else f"doc_{c}" for c in columns]
+
+
+def kept_rows(book: DataFrame, columns: list[str], version: int = CURRENT) -> DataFrame:
+    """The rows of a stored ledger that a policy keeps, under the documents' own names."""
+    return book.where(~fails(version)).select(*_beside(columns)).toDF(*columns)
+
+
+@under_plain_names
+def keep_good(docs: DataFrame, version: int = CURRENT) -> DataFrame:
+    """The rows a policy keeps, with all their columns, by the bits of a stored ledger."""
+    return kept_rows(stored_ledger(docs), docs.columns, version)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +188,7 @@ WITH docs AS (
         (n_words < 20)::INT + 2 * (100 * coalesce(n_repeat_words, 0) > 30 * n_words)::INT + 4 * (10 * n_symbols > 2 * n_words)::INT
         + 8 * (coalesce(n_lines, 0) >= 4 AND 100 * coalesce(n_dup_lines, 0) > 50 * n_lines)::INT
         + 16 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT
-        + 32 * (n_letters > 0 AND 100 * n_capitals > 60 * n_letters)::INT AS failed_bits
+        + 32 * (2 * n_letters >= word_chars AND n_letters > 0 AND 100 * n_capitals > 60 * n_letters)::INT AS failed_bits
     FROM measured LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed,
