@@ -125,7 +125,7 @@ _PLACED = "part int, key bigint, more int, id bigint, tag bigint, at int, ats ar
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
-    """Windows whose anchor is shared: part (of the anchor), hash of the words in two columns, id, tag, number of the first word.
+    """Windows whose anchor is shared: part (of the hash), hash of the words in two columns, id, tag, number of the first word.
 
     Where a task holds a window in several documents, only the smallest goes on as such a row; of the others it is already
     known that they go, and one row per document carries their places in ``ats``.
@@ -150,8 +150,9 @@ def _found(piece: pa.RecordBatch, field: np.ndarray) -> tuple[np.ndarray, ...]:
     words, hashes = _words(piece.column("text"))
     begin, _, names = window_anchors(words, hashes)
     shared = bloom.contains(field, names)
-    begin, part = begin[shared], (names[shared] & np.uint64(0xFFFFF)).astype(np.int32)
-    key = span_hashes(hashes, begin, begin + WINDOW).view(np.int64)
+    begin = begin[shared]
+    key = span_hashes(hashes, begin, begin + WINDOW)
+    part, key = (key >> np.uint64(44)).astype(np.int32), key.view(np.int64)
     more = (span_hashes(hashes, begin, begin + WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     row = words.row[begin]
     ids, tags = (piece.column(c).to_numpy()[row] for c in ("id", "tag"))
@@ -200,8 +201,8 @@ def _by_document(ids: np.ndarray, tags: np.ndarray, at: np.ndarray) -> tuple[np.
 def repeated_windows(windows: DataFrame) -> DataFrame:
     """i, t and places of windows that a smaller document holds.
 
-    Equal windows have one anchor, so they meet in one partition; sorted, the first row of a window has its smallest id, and one pass
-    needs no memory for a group. A task has sent a window once for each FLUSH_WINDOWS of its own, however many of its documents hold it.
+    Windows are dealt by their own hash, as one anchor can stand in very many different windows. Equal ones meet in one partition;
+    sorted, the first row of a window has its smallest id, and one pass needs no memory for a group. A task has sent a window once for each FLUSH_WINDOWS of its own, however many of its documents hold it.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
