@@ -14,6 +14,7 @@ as NULL. Templates of fewer than GRAM tokens are refused. Empty tables give an e
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -158,8 +159,10 @@ def best_of_overlapping(found: list[tuple[int, int, int, int, int]]) -> list[tup
     taken: dict[int, list[tuple[int, int]]] = {}
     for f in sorted(set(found), key=lambda f: (f[0], -f[2], f[4] - f[3], f[1], f[3])):
         spans = taken.setdefault(f[0], [])
-        if all(f[4] < b or f[3] > e for b, e in spans):
-            spans.append((f[3], f[4]))
+        # Kept spans are disjoint and in order, so only the last that begins before this one ends can overlap it.
+        at = bisect_right(spans, f[4], key=lambda span: span[0])
+        if at == 0 or spans[at - 1][1] < f[3]:
+            spans.insert(at, (f[3], f[4]))
             kept.append(f)
     return sorted(kept, key=lambda f: (f[0], f[3]))
 
