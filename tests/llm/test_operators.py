@@ -1,6 +1,8 @@
 import hashlib
 import itertools
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -15,6 +17,8 @@ from ledgerlake.llm import bloom, decontaminate, langid, licenses, lines, minhas
 from ledgerlake.llm.components import components
 from ledgerlake.llm.license_texts import TEMPLATES
 from ledgerlake.llm.shared import documents as read_documents
+from ledgerlake.llm.shared import written
+from ledgerlake.llm.words import mix
 
 from . import helpers as h
 
@@ -224,8 +228,14 @@ def test_window_anchors_agree_in_all_copies():
                 assert seen.setdefault(k, n) == n
 
 
-def test_rules_and_their_array_form_agree(spark, full):
+def test_policies_and_ablations_read_the_stored_ledger(spark, full):
     docs = read_documents(spark, full)
+    stored = quality.stored_ledger(docs)
+    for version in quality.POLICIES:
+        rows = quality.kept_rows(stored, docs.columns, version).collect()
+        passed = Counter(str(r.doc_id) for r in quality.ledger(docs).where(~quality.fails(version)).collect())
+        assert Counter(str(r.doc_id) for r in rows) == passed
+    assert sorted(map(str, quality.ablation(stored).collect())) == sorted(map(str, quality.ablation(quality.ledger(docs)).collect()))
     book = quality.ledger(docs).collect()
     kept = sorted(str(r.doc_id) for r in quality.keep_good(docs).collect())
     assert kept == sorted(str(r.doc_id) for r in book if r.failed_bits == 0)
@@ -244,6 +254,22 @@ def test_stages_keep_columns(spark, full):
         assert stage(spark, docs, full).columns == docs.columns, name
 
 
+def test_stages_take_names_with_dots(spark, full):
+    docs = read_documents(spark, full).withColumns({"a.b": F.lit("x"), "a_b": F.lit(1), "failed_bits": F.lit(2)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = Counter((r.doc_id, r.text) for r in stage(spark, read_documents(spark, full), full).collect())
+        kept = stage(spark, docs, full)
+        assert kept.columns == docs.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == plain, name
+        assert {(r["a.b"], r.a_b, r.failed_bits) for r in kept.collect()} == {("x", 1, 2)}, name
+
+
+def test_texts_in_other_scripts_are_not_judged_by_their_latin_capitals(spark):
+    words = "космический корабль летит над морем и землёй очень долго пока люди внизу смотрят вверх а дети спят дома у тёплой печи где"
+    rows = [(1, f"{words} NASA"), (2, words), (3, words.upper()), (4, " ".join(f"LOUD{c}" for c in "ABCDEFGHIJKLMNOPQRSTUVWX"))]
+    kept = quality.keep_good(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in kept} == {1, 2, 3}
+
+
 def test_substituted_passages_are_found(spark):
     rng = random.Random(5)
     item = [f"t{i}" for i in range(40)]
@@ -451,6 +477,91 @@ def test_language_counts_equal_brute_force(spark, full):
     assert {r.doc_id for r in langid.predict(texts, langs, logs).collect() if r.lang_pred == "und"} == {1, 2, 4}
 
 
+def test_languages_equal_plain_naive_bayes(spark, full):
+    """Counts, predictions and scores again, n-gram by n-gram in Python numbers."""
+    remembered = {}
+
+    def bucket(gram):
+        if gram not in remembered:
+            value = len(gram)
+            for c in gram:
+                value = (value * (0x10FFFF + 2) + ord(c)) % 2**64
+            remembered[gram] = int(mix(np.array([value], np.uint64))[0]) >> 49
+        return remembered[gram]
+
+    def fold(c):
+        if ord(c) < 128:
+            return c.lower() if c.isalpha() else " "
+        return chr(ord(c) + 32) if 0xC0 <= ord(c) < 0xDF and ord(c) != 0xD7 else c
+
+    def grams(text):
+        text = "".join(map(fold, text or ""))
+        return Counter(bucket(text[i : i + n]) for n in (1, 2, 3) for i in range(len(text) - n + 1))
+
+    rows = read_documents(spark, full).collect()
+    counts, n_docs = {}, Counter()
+    for r in rows:
+        if r.lang is not None and r.text is not None and (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 4 != 2):
+            counts.setdefault(r.lang, Counter()).update(grams(r.text))
+            n_docs[r.lang] += 1
+    langs = sorted(counts)
+    whole = {x: sum(counts[x].values()) + 0.5 * 2**15 for x in langs}
+    wanted = []
+    for r in rows:
+        score = [math.log(n_docs[x] / sum(n_docs.values())) + sum(k * math.log((counts[x][b] + 0.5) / whole[x]) for b, k in grams(r.text).items()) for x in langs]
+        best = max(range(len(langs)), key=lambda i: (score[i], -i))
+        letters = any(c.isalpha() for c in r.text or "")
+        wanted.append((str(r.doc_id), langs[best] if letters else "und", 1 / sum(math.exp(s - score[best]) for s in score) if letters else 0.0, abs(score[0] - score[1])))
+    found = sorted((str(r.doc_id), r.lang_pred, r.score) for r in langid.op8_language_id(spark, full).collect())
+    for (i, lang, score), (j, lang2, score2, apart) in zip(found, sorted(wanted), strict=True):
+        assert i == j and (lang == lang2 and score == pytest.approx(score2, abs=2e-3) or 0 < apart < 1e-2)
+
+
+def _whole_alignment(text, template):
+    """Score, matches and first token of the best local alignment, without index and band."""
+    best, above = (0, 0, 0), [(0, 0, -j) for j in range(len(text) + 1)]
+    for token in template:
+        row = [(0, 0, 0)]
+        for j, t in enumerate(text, 1):
+            s, m, b = above[j - 1]
+            options = [(s + 2, m + 1, b) if t == token else (s - 1, m, b), (above[j][0] - 1, *above[j][1:]), (row[j - 1][0] - 1, *row[j - 1][1:]), (0, 0, -j)]
+            row.append(max(options))
+            if t == token:
+                best = max(best, row[-1])
+        above = row
+    return best
+
+
+def test_license_scan_equals_whole_alignment(spark):
+    rng = random.Random(4)
+    cut = lambda text: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", h.lower(text))
+    parts = {n: cut(t) for n, t in TEMPLATES.items()}
+    rows = []
+    for i, name in enumerate(n for n in parts for _ in range(3)):
+        tokens_of = list(parts[name])
+        for _ in range(0 if i % 3 == 0 else max(1, len(tokens_of) // (12 if i % 3 == 1 else 4))):
+            at = rng.randrange(len(tokens_of))
+            tokens_of[at : at + 1] = rng.choice([["changed"], [], [tokens_of[at], "added"]]) or []
+            tokens_of = tokens_of or ["gone"]
+        rows.append((i, " ".join(["before"] * rng.randint(0, 5) + tokens_of + ["after"] * rng.randint(0, 5))))
+    found = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        found.setdefault(r.doc_id, []).append((r.n_matched, r.license))
+    n_found = 0
+    for i, text in rows:
+        wanted = []
+        for name, template in parts.items():
+            _, matched, _ = _whole_alignment(cut(text), template)
+            if matched >= (len(template) if len(template) < licenses.NOTICE_TOKENS else licenses.MIN_COVERAGE * len(template)):
+                wanted.append((matched, name))
+        # Places that do not overlap the best are reported as well; the best one always is.
+        got = found.get(i, [])
+        assert bool(got) == bool(wanted) and (not wanted or max(m for m, _ in got) == max(m for m, _ in wanted)), (i, got, wanted)
+        assert {n for _, n in got} <= {n for _, n in wanted}
+        n_found += bool(got)
+    assert len(parts) <= n_found < len(rows)
+
+
 def test_license_places(spark):
     mit = TEMPLATES["MIT"].replace("free of charge", "free of any charge").replace("sell copies", "offer copies")
     rows = [
@@ -494,6 +605,76 @@ def test_pipeline_equals_brute_force(spark, full):
     assert max(Counter(ids).values()) <= 3 and found[-1].start + found[-1].n_tokens == sum(len(r.ids) for r in found)
 
 
+def test_every_stage_equals_brute_force(spark, full):
+    """The documents that each stage keeps, again without the package: SQL, sets of shingles, place by place, plain sums."""
+    as_key = lambda r: (r.doc_id is None, r.doc_id, r.text)
+    docs, sql = read_documents(spark, full), quality.SQL
+    columns, book = h.by_sql(full, sql)
+    good = Counter(r[columns.index("doc_id")] for r in book if r[columns.index("kept")])
+    stage = corpus_pipeline.quality_rules(spark, docs, full)
+    first = stage.collect()
+    assert Counter(r.doc_id for r in first) == good and len(first) > 20
+
+    sets = {}
+    for r in first:
+        w = h.words(h.lower(r.text))
+        sets[as_key(r)] = {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(sorted(sets, key=lambda k: (k[0], k[1] or 0, k[2])), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            low, high = sorted((find(a), find(b)), key=lambda k: (k[0], k[1] or 0, k[2]))
+            root[high] = low
+    leaders = sorted(str(k[1]) for k in sets if root[k] == k)
+    stage = corpus_pipeline.near_dedup(spark, written(stage), full)
+    second = stage.collect()
+    assert sorted(str(r.doc_id) for r in second) == leaders and len(second) < len(first)
+
+    cut = lambda text: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", h.lower(text))
+    items = [cut(r.text) for r in spark.read.parquet(f"{full}/benchmark.parquet").collect()]
+
+    def leaks(text):
+        w = cut(text)
+        for v in items:
+            n, frame = len(v), min(len(v), decontaminate.FRAME)
+            for start in range(-n + 1, len(w) if n >= decontaminate.SPAN else -n + 1):
+                same = [0 <= start + k < len(w) and w[start + k] == v[k] for k in range(n)]
+                if any(sum(same[k : k + frame]) * decontaminate.FRAME >= decontaminate.LEAST * frame for k in range(n - frame + 1)):
+                    return True
+        return False
+
+    clean = [r for r in second if not leaks(r.text)]
+    stage = corpus_pipeline.decontamination(spark, written(stage), full)
+    third = stage.collect()
+    assert sorted(map(as_key, third), key=str) == sorted(map(as_key, clean), key=str)
+
+    sizes, longest, taken = Counter(), Counter(), Counter()
+    for r in third:
+        n = len(h.words(r.text))
+        sizes[r.source] += n
+        longest[r.source] = max(longest[r.source], n)
+    stage = corpus_pipeline.mix_sources(spark, written(stage), full)
+    fourth = stage.collect()
+    assert max(Counter(map(as_key, fourth)).values()) <= 3 and set(map(as_key, fourth)) <= set(map(as_key, third))
+    for r in fourth:
+        taken[r.source] += len(h.words(r.text))
+    for source, target in _targets(sizes).items():
+        assert abs(taken[source] - target) <= longest[source], source
+
+    last = corpus_pipeline.run(spark, full).orderBy("start").collect()
+    assert Counter(r.doc_id for r in last) == Counter(r.doc_id for r in fourth)
+    at = 0
+    for r in last:
+        assert r.start == at and r.n_tokens == len(r.ids)
+        at += r.n_tokens
+
+
 def test_words_of_two_letters_in_a_pattern_are_told_apart(spark):
     """Two words of 1,024 letters that a sum of powers modulo 2^64 cannot tell apart, in words, lines, shingles and windows."""
     from tokenizers import Tokenizer
