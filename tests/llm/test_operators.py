@@ -298,10 +298,12 @@ def _fits(mask, at, gone):
     return mask[0] == mask[-1] == "1" and not any(at <= g < at + len(mask) and mask[g - at] == "1" for g in gone)
 
 
-def test_contaminated_equals_the_rule_alone(spark):
-    """All alignments of all pairs, place by place and without seeds."""
+@pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_SEEDS, 0])
+def test_contaminated_equals_the_rule_alone(spark, monkeypatch, tmp_path, broadcast):
+    """All alignments of all pairs, place by place and without seeds; the SQL too."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", broadcast)
     rng = random.Random(9)
-    items = {n: [f"i{n}t{k}" for k in range(n)] for n in (*range(8, 14), 16, 20, 40)}
+    items = {n: [f"i{n}t{k}" for k in range(n)] for n in (*range(2, 14), 16, 20, 40)}
     texts = {0: ["other"] * 4 + [t if k not in (4, 8) else "x" for k, t in enumerate(items[13])], 1: items[9][1:8], 2: items[13][3:], 3: items[8]}
     for i in range(4, 400):
         n = rng.choice(list(items))
@@ -310,24 +312,39 @@ def test_contaminated_equals_the_rule_alone(spark):
             w[k] = rng.choice(["x", *items[n]])
         begin = rng.choice([0, 0, rng.randint(0, 3)])
         texts[i] = [f"y{i}"] * rng.choice([0, 0, 5]) + w[begin : n - rng.choice([0, 0, rng.randint(0, 3)])] + ["z"] * rng.choice([0, 7])
+    texts |= {500 + n: ["y", *v, "z"] for n, v in items.items()}
     wanted = {}
     for i, w in texts.items():
         for n, v in items.items():
             frame = min(n, 13)
-            for start in range(-n + 1, len(w) if n >= 9 else -n + 1):
+            for start in range(-n + 1, len(w) if n >= 3 else -n + 1):
                 same = [0 <= start + k < len(w) and w[start + k] == v[k] for k in range(n)]
                 frames = [k for k in range(n - frame + 1) if sum(same[k : k + frame]) * 13 >= 10 * frame]
-                if frames:
+                if frames and (n >= 9 or all(same)):
                     found = (sum(same), -start, n, frames[0], frames[-1] + frame - 1)
                     wanted[i, n] = max(wanted.get((i, n), found), found)
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
     bench = spark.createDataFrame([(n, " ".join(v)) for n, v in items.items()], "item_id bigint, text string")
     found = {(r.doc_id, r.item_id): (r.n_agreeing, -r.doc_token, r.n_item_tokens, r.first_token, r.last_token) for r in decontaminate.contaminated(docs, bench).collect()}
-    assert found == wanted and {(0, 13), (1, 9), (2, 13)} <= set(found)
+    assert found == wanted and {(0, 13), (1, 9), (2, 13), (3, 8)} <= set(found) and {n for _, n in found} == set(items) - {2}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    columns, rows = h.by_sql(tmp_path, decontaminate.SQL, ("documents", "benchmark"))
+    h.same_rows(decontaminate.contaminated(docs, bench), columns, rows)
     kept = {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()}
     assert kept == set(texts) - {i for i, _ in wanted}
 
 
+def test_seeds_of_a_long_text_are_shuffled_without_it(spark, monkeypatch):
+    """100,000 tokens carried by each of their seeds would be a hundred GB."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    item = [f"t{k}" for k in range(30)]
+    long = [f"w{k}" for k in range(100_000)]
+    docs = spark.createDataFrame([(1, " ".join([*long, *item, *long])), (2, " ".join(long))], "doc_id bigint, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert [(r.doc_id, r.n_agreeing, r.doc_token) for r in found] == [(1, 30, 100_000)]
+
+
 def test_decontamination_runs_no_python(spark, full):
     for df in (decontaminate.op1_benchmark_decontamination(spark, full), corpus_pipeline.decontamination(spark, read_documents(spark, full), full)):
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -643,9 +660,9 @@ def test_every_stage_equals_brute_force(spark, full):
         w = cut(text)
         for v in items:
             n, frame = len(v), min(len(v), decontaminate.FRAME)
-            for start in range(-n + 1, len(w) if n >= decontaminate.SPAN else -n + 1):
+            for start in range(-n + 1, len(w) if n >= decontaminate.SHORTEST else -n + 1):
                 same = [0 <= start + k < len(w) and w[start + k] == v[k] for k in range(n)]
-                if any(sum(same[k : k + frame]) * decontaminate.FRAME >= decontaminate.LEAST * frame for k in range(n - frame + 1)):
+                if (n >= decontaminate.SPAN or all(same)) and any(sum(same[k : k + frame]) * decontaminate.FRAME >= decontaminate.LEAST * frame for k in range(n - frame + 1)):
                     return True
         return False
 
