@@ -4,20 +4,23 @@ Texts are parsed in rounds. A round joins runs of one symbol, then pairs of a le
 bit of the symbol's name. A name is a 64-bit hash of what it stands for, hence global: equal substrings get the same
 interior symbols in every document, and no table of names has to be exchanged between rounds. Symbols of round k (from 0)
 span at most k + 2 words, and a step changes only the symbols at the ends of a substring, k + 2 words by runs and k + 1 by
-pairs. So symbol borders at least MARGIN words inside a window are the same in every copy of the window.
+pairs. So the symbols that lie at least MARGIN words inside a window are the same, by place and by name, in every copy of the window.
 
-Among these borders a window's anchor is the one with the smallest name, a hash of the CORE words around it. Anchor names that
-documents share reveal candidates: they are put into a Bloom filter, and windows whose anchor it holds are verified, grouped by a
-96-bit hash of their 50 words. A window goes if the smallest document that holds it is smaller than its own.
+A last round names blocks: the symbols that lie wholly in the CORE words from a border on, named by the names of these symbols. Among the
+blocks inside a window the one with the smallest name is its anchor. Names of anchors that documents share reveal candidates:
+they are put into a Bloom filter, and windows whose anchor it holds are verified, grouped by 64 bits of the names of all their
+interior symbols and of the words at both ends, and by 32 bits of their 50 words alone. A window goes if the smallest document
+that holds it is smaller than its own.
 
 Defined results: NULL and empty texts have no words. Rows of one doc_id are never "smaller" than each other, and repeated
-rows get equal results. A NULL doc_id is smaller than every other. An empty table gives an empty result; other
-columns of the input play no part.
+rows get equal results. A NULL doc_id is smaller than every other. Texts of any length are taken whole, each in one task. An
+empty table gives an empty result; other columns of the input play no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +33,22 @@ from ledgerlake.llm.shared import documents, map_arrow, pieces, row_tag, small_b
 from ledgerlake.llm.words import Text, Words, mix, span_hashes
 
 WINDOW = 50
-ROUNDS = 3
+ROUNDS = 2
+#: Words of a block of symbols.
 CORE = 20
-#: The words that all rounds together can change at an end of a window; a core must also lie inside it.
-MARGIN = max(sum(2 * k + 3 for k in range(ROUNDS)), CORE // 2)
-#: Places in a window's inner part. Symbols are shorter, so one of the places is a border.
-REACH = WINDOW - 2 * MARGIN + 1
+#: The words that all rounds together can change at an end of a window.
+MARGIN = sum(2 * k + 3 for k in range(ROUNDS))
+#: Places in a window at which a block can begin that ends inside it. Symbols are shorter, so one of the places is a border.
+REACH = WINDOW - 2 * MARGIN - CORE + 1
 assert ROUNDS + 1 <= REACH
 
 _NONE = np.iinfo(np.uint64).max
 _NULL_ID = -(2**63)
 
 
-def recompress(names: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """First words of the symbols after all rounds; ``names`` and ``row`` are those of the words."""
+def recompress(names: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """First words and names of the symbols after all rounds; ``names`` and ``row`` are those of the words."""
+    names = names.copy()
     at, span = np.arange(len(names)), np.ones(len(names), np.int64)
     for k in range(rounds):
         most = k + 2
@@ -64,19 +69,49 @@ def recompress(names: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> np.n
         keep = np.ones(len(names), bool)
         keep[first + 1] = False
         names, span, at, row = names[keep], span[keep], at[keep], row[keep]
-    return at
-
-
-def window_anchors(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words of all windows, the word at each one's anchor, and the anchor's name."""
-    half = CORE // 2
-    at = recompress(hashes.copy(), words.row)
-    at = at[(at - half >= words.first[words.row[at]]) & (at + half <= words.first[words.row[at] + 1])]
-    value = np.full(len(hashes), _NONE, np.uint64)
-    value[at] = span_hashes(hashes, at - half, at + half)
-    begin = words.windows(WINDOW)
-    place = _lowest(value, begin + MARGIN, REACH)
-    return begin, place, value[place]
+    return at, names
+
+
+@dataclass
+class Parsed:
+    """Words of some texts, their hashes, and the symbols they are parsed into: ``at`` (first words) and ``names``."""
+
+    words: Words
+    hashes: np.ndarray
+    at: np.ndarray
+    names: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Parsed:
+        words = Words.of(Text.of(texts))
+        hashes = words.hashes()
+        return cls(words, hashes, *recompress(hashes, words.row))
+
+    def borders(self) -> np.ndarray:
+        """For each word, and the end of the last, the number of symbols that begin before it."""
+        begins = np.zeros(len(self.hashes) + 1, np.int64)
+        begins[self.at + 1] = 1
+        return np.cumsum(begins)
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words of all windows, the word at which each one's anchor begins, and the anchor's name."""
+        ends = np.append(self.at, len(self.hashes))
+        inside = np.flatnonzero(self.at + CORE <= self.words.first[self.words.row[self.at] + 1])
+        # Symbols from this border to the last border that is at most CORE words on.
+        last = np.searchsorted(ends, self.at[inside] + CORE, side="right") - 1
+        value = np.full(len(self.hashes), _NONE, np.uint64)
+        value[self.at[inside]] = span_hashes(self.names, inside, last)
+        begin = self.words.windows(WINDOW)
+        place = _lowest(value, begin + MARGIN, REACH)
+        return begin, place, value[place]
+
+    def keys(self, begin: np.ndarray) -> np.ndarray:
+        """64 bits of each window: the names of the symbols inside it, and the words between these and its ends."""
+        before = self.borders()
+        first, last = before[begin + MARGIN], before[begin + WINDOW - MARGIN + 1] - 1
+        left, right = self.at[first], self.at[last]
+        ends = span_hashes(self.hashes, begin, left), span_hashes(self.hashes, right, begin + WINDOW)
+        return mix(mix(mix(ends[0]) + span_hashes(self.names, first, last)) + ends[1])
 
 
 def _lowest(value: np.ndarray, begin: np.ndarray, reach: int) -> np.ndarray:
@@ -90,19 +125,14 @@ def _lowest(value: np.ndarray, begin: np.ndarray, reach: int) -> np.ndarray:
     return np.where(value[b] < value[a], b, a)
 
 
-def _words(texts: pa.Array) -> tuple[Words, np.ndarray]:
-    words = Words.of(Text.of(texts))
-    return words, words.hashes()
-
-
 def shared_anchors(docs: DataFrame) -> DataFrame:
     """Names of anchors that stand in documents of two or more ids."""
 
     def step(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words, hashes = _words(piece.column("text"))
-        _, place, names = window_anchors(words, hashes)
+        parsed = Parsed.of(piece.column("text"))
+        _, place, names = parsed.anchors()
         one = np.flatnonzero(np.diff(place, prepend=-1))
-        ids = piece.column("id").take(pa.array(words.row[place[one]]))
+        ids = piece.column("id").take(pa.array(parsed.words.row[place[one]]))
         yield pa.RecordBatch.from_arrays([pa.array(names[one].view(np.int64)), ids], names=["name", "id"])
 
     found = map_arrow(docs.select("id", "text"), step, "name bigint, id bigint")
@@ -125,7 +155,7 @@ _PLACED = "part int, key bigint, more int, id bigint, tag bigint, at int, ats ar
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
-    """Windows whose anchor is shared: part (of the anchor), hash of the words in two columns, id, tag, number of the first word.
+    """Windows whose anchor is shared: part (of the anchor), hashes of symbols and words, id, tag, number of the first word.
 
     Where a task holds a window in several documents, only the smallest goes on as such a row; of the others it is already
     known that they go, and one row per document carries their places in ``ats``.
@@ -147,12 +177,13 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
 
 
 def _found(piece: pa.RecordBatch, field: np.ndarray) -> tuple[np.ndarray, ...]:
-    words, hashes = _words(piece.column("text"))
-    begin, _, names = window_anchors(words, hashes)
+    parsed = Parsed.of(piece.column("text"))
+    words = parsed.words
+    begin, _, names = parsed.anchors()
     shared = bloom.contains(field, names)
     begin, part = begin[shared], (names[shared] & np.uint64(0xFFFFF)).astype(np.int32)
-    key = span_hashes(hashes, begin, begin + WINDOW).view(np.int64)
-    more = (span_hashes(hashes, begin, begin + WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    key = parsed.keys(begin).view(np.int64)
+    more = (span_hashes(parsed.hashes, begin, begin + WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     row = words.row[begin]
     ids, tags = (piece.column(c).to_numpy()[row] for c in ("id", "tag"))
     return part, key, more, ids, tags, (begin - words.first[row]).astype(np.int32)

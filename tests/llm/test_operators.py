@@ -220,12 +220,29 @@ def test_window_anchors_agree_in_all_copies():
         for trial in range(60):
             core = [rng.choice(vocabulary) for _ in range(50)] if trial % 3 else [rng.choice(vocabulary) for _ in range(5)] * 10
             texts = [" ".join([*(rng.choice(vocabulary) for _ in range(rng.randint(0, 40))), *core, *(rng.choice(vocabulary) for _ in range(rng.randint(0, 40)))]) for _ in range(4)]
-            words, hashes = substrings._words(h.text_array(texts))
-            begin, _, names = substrings.window_anchors(words, hashes)
-            keys = substrings.span_hashes(hashes, begin, begin + 50)
-            seen = {}
-            for k, n in zip(keys.tolist(), names.tolist(), strict=True):
-                assert seen.setdefault(k, n) == n
+            parsed = substrings.Parsed.of(h.text_array(texts))
+            begin, _, names = parsed.anchors()
+            plain = [tuple(w) for t in texts for w in _windows(t.split(" "), 50)]
+            of, by = {}, {}
+            for w, name, key in zip(plain, names.tolist(), parsed.keys(begin).tolist(), strict=True):
+                assert of.setdefault(w, (name, key)) == (name, key)
+                assert by.setdefault(key, w) == w
+
+
+def _windows(words, size):
+    return [words[i : i + size] for i in range(len(words) - size + 1)]
+
+
+def test_symbol_names_reveal_and_verify():
+    """Names of symbols, not places alone, make the names of anchors and the keys of windows."""
+    texts = h.text_array([" ".join(f"w{i % 37}{i % 11}" for i in range(400))])
+    parsed = substrings.Parsed.of(texts)
+    begin, _, before = parsed.anchors()
+    keys = parsed.keys(begin)
+    parsed.names = mix(parsed.names)
+    _, _, after = parsed.anchors()
+    assert not set(before.tolist()) & set(after.tolist())
+    assert not set(keys.tolist()) & set(parsed.keys(begin).tolist())
 
 
 def test_policies_and_ablations_read_the_stored_ledger(spark, full):
