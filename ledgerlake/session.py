@@ -80,8 +80,10 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# How ``fit_to_input`` cuts: bytes per shuffle partition, splits of a scan, and the bounds of one.
+# How ``fit_to_input`` cuts: bytes per shuffle partition up to LARGE bytes of input, and the power of the input with which they grow
+# beyond; splits of a scan, and the bounds of one.
 PARTITION_BYTES = 64 << 20
+LARGE, GROWTH = 1 << 40, 0.6
 SPLITS = 100_000
 MIN_SPLIT, MAX_SPLIT = 128 << 20, 1 << 30
 
@@ -92,18 +94,32 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(hadoop_path).getLength()
 
 
+def shuffle_partitions(size: int) -> int:
+    """Partitions for so many bytes of input.
+
+    About 64 MB of compressed columns each leaves room for decoding and for rows that several operators widen; AQE merges
+    those that turn out small. Beyond 1 TB partitions grow, to 1 GB at 100 TB (some 100,000 of them), because the driver
+    keeps a size for each pair of map task and partition.
+    """
+    return int(size / (PARTITION_BYTES * max(1.0, size / LARGE) ** GROWTH))
+
+
+def fit_shuffles(spark: SparkSession, path: str) -> int:
+    """Raises the number of shuffle partitions to what the input asks for, never lowers it; returns it."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, shuffle_partitions(input_bytes(spark, path)))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def fit_to_input(spark: SparkSession, path: str) -> int:
     """Size shuffles and scans by the input; returns the shuffle partition count.
 
-    About 64 MB of compressed columns per shuffle partition leaves room for decoding and for
-    rows that several operators widen; AQE merges the partitions that turn out small. The count
-    is only ever raised. Scan splits grow from 128 MB to at most 1 GB, to keep the number of
+    Scan splits grow from 128 MB to at most 1 GB, to keep the number of
     tasks and of files a load writes in the tens of thousands.
     """
-    size = input_bytes(spark, path)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, size // PARTITION_BYTES)
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    split = min(max(MIN_SPLIT, size // SPLITS), MAX_SPLIT)
+    wanted = fit_shuffles(spark, path)
+    split = min(max(MIN_SPLIT, input_bytes(spark, path) // SPLITS), MAX_SPLIT)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return wanted

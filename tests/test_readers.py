@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from ledgerlake.schemas import FLAT_SCHEMA
-from ledgerlake.session import fit_to_input
+from ledgerlake.session import fit_shuffles, fit_to_input, shuffle_partitions
 from ledgerlake.sources.readers import read_flat_csv, read_parquet
 
 
@@ -56,3 +56,17 @@ def test_csv_rows_are_numbered_as_they_stand(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r["_source_row"] for r in rows] == list(range(600))
     assert [r["Order_Line_ID"] for r in rows] == names
+
+
+def test_partitions_grow_slower_than_very_large_inputs():
+    assert [shuffle_partitions(n << 20) for n in (0, 63, 640)] == [0, 0, 10]
+    assert shuffle_partitions(1 << 40) == 16_384
+    assert 90_000 < shuffle_partitions(100 << 40) < 110_000
+    sizes = [1 << n for n in range(20, 50)]
+    assert sorted(map(shuffle_partitions, sizes)) == [shuffle_partitions(n) for n in sizes]
+
+
+def test_given_partitions_are_never_lowered(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    assert fit_shuffles(spark, f"{tmp_path}/t") == int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
