@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import work_dir
+from ledgerlake.session import fit_shuffles, work_dir
 
 #: Text a Python task handles at a time. Whole texts are never cut, so one longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
@@ -35,6 +35,8 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; shuffles and ranges of the session are sized by them."""
+    fit_shuffles(spark, f"{sf_dir}/documents.parquet")
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

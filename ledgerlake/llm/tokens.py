@@ -5,15 +5,17 @@ ids (dictionary encoded, delta where the dictionary grows too large), part (the
 file). Row groups and pages are small and carry column and offset indexes, so a reader that wants a range of doc_ids, or metadata only,
 skips the pages of all others. Where a file begins in the whole is the sum over the files before it, one number per file.
 
-The tokenizer never joins what white space separates, and drops the white space. So a batch is encoded by its distinct words,
-each once, and the ids of every text are put together from them; a test holds this against encoding whole texts.
+The default tokenizer never joins what white space separates, and drops the white space. So a batch is encoded by its distinct words,
+each once, and the ids of every text are put together from them; a test holds this against encoding whole texts. A tokenizer that
+normalizes or splits in any other way, or whose added tokens such words could hide, is found out on loading and encodes whole texts.
 
 Defined results: NULL and empty texts give the end id alone. Documents are ordered by doc_id, NULL first, then by a hash of the
-text; repeated rows are encoded each. An empty table gives an empty result; other columns play no part.
+text; repeated rows are encoded each. Texts of any length are encoded whole, each in one task. An empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -55,14 +57,47 @@ _PLAIN = re.compile(r"[!-&(-/:;=-~]+")
 _RUNS = re.compile(r"[a-z]+|[^a-z]+")
 
 
+# How a tokenizer file must normalize and split for words to be encoded apart.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def splits_by_words(spec: dict) -> bool:
+    """Whether the tokenizer of this file gives a text the ids of its words, and a plain word those of its runs."""
+    plain_model = spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+    hidden = [
+        t for t in spec["added_tokens"]
+        if _PLAIN.fullmatch(t["content"]) or t["content"].split() != [t["content"]] or t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"]
+    ]
+    return spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _PRE_TOKENIZER and plain_model and not hidden
+
+
 class Encoder:
-    """Encodes pieces of texts word by word; remembers the ids of words and of their parts."""
+    """Encodes pieces of texts word by word where the tokenizer allows it; remembers the ids of words and of their parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as file:
+            self.by_words = splits_by_words(json.load(file))
         self.forget()
 
     def forget(self) -> None:
@@ -112,6 +147,10 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and their offsets."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            lists = [np.array([*e.ids, END_ID], np.uint32) for e in found]
+            return np.concatenate([np.zeros(0, np.uint32), *lists]), np.cumsum([0, *map(len, lists)])
         words = Words.of(Text.of(texts))
         hashes = words.hashes()
         if max(len(self.hashes), len(self.parts)) > REMEMBERED:

@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -408,6 +409,35 @@ def test_tokens_equal_whole_texts(spark, tmp_path):
     assert [s.ids_crc32 for s in sums] == [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in read]
 
 
+def _cased(spec):
+    spec["normalizer"]["normalizers"].pop()
+
+
+def _added(spec):
+    spec["added_tokens"].append({"id": 49408, "content": "world", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False})
+
+
+def _truncating(spec):
+    spec["truncation"] = {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}
+
+
+@pytest.mark.parametrize("change, by_words", [(_cased, False), (_added, False), (_truncating, True), (lambda spec: None, True)])
+def test_other_tokenizers_encode_whole_texts(tmp_path, change, by_words):
+    from tokenizers import Tokenizer
+
+    with open(tokens.default_tokenizer(), encoding="utf-8") as file:
+        spec = json.load(file)
+    change(spec)
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    plain, encoder = Tokenizer.from_file(str(path)), tokens.Encoder(str(path))
+    plain.no_truncation()
+    texts = ["Hello World", None, "", "helloworld World's end\n\nof it", "x" * 3000]
+    ids, offsets = encoder.encode(h.text_array(texts))
+    assert encoder.by_words == by_words
+    assert [ids[a:b].tolist() for a, b in itertools.pairwise(offsets)] == [plain.encode(t or "", add_special_tokens=False).ids + [tokens.END_ID] for t in texts]
+
+
 def test_token_files_carry_dictionaries_and_indexes(spark, tmp_path):
     import pyarrow.parquet as pq
 
