@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import month_diff, ratio
+from ledgerlake.session import stored
 
 #: Ages, in months, that the matrix has columns for.
 MATRIX_AGES = 25
@@ -18,7 +19,8 @@ def retention(purchases: DataFrame) -> DataFrame:
     cohort is active, so retention starts at 1. Fully returned orders are not in the mart, and play no part.
     """
     cohort, age = "acquisition_cohort_month", "months_since_acquisition"
-    active = purchases.groupBy("customer_id", cohort, age).agg(F.lit(1)).groupBy(cohort, age).agg(F.count("*").alias("active"))
+    # Read three times: at most one row for each two months, from a shuffle of all customers' months.
+    active = stored(purchases.groupBy("customer_id", cohort, age).agg(F.lit(1)).groupBy(cohort, age).agg(F.count("*").alias("active")))
     last = active.select(F.max(F.add_months(cohort, F.col(age).cast("int"))).alias("m")).scalar()
     size = F.coalesce(F.sum(F.when(F.col(age) == 0, F.col("active"))), F.lit(0)).alias("cohort_size")
     ages = F.explode(F.sequence(F.lit(0).cast("bigint"), month_diff(F.col("last"), F.col(cohort)))).alias(age)

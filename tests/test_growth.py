@@ -4,9 +4,9 @@ import pytest
 from conftest import edit, make_batch
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import contracts
+from ledgerlake.operators import bitmaps, contracts, quality, signals
 from ledgerlake.operators.contracts import validate_sources
-from ledgerlake.plans import conform
+from ledgerlake.plans import conform, marts
 from ledgerlake.plans.lake import Lake
 from ledgerlake.workbench import Workbench
 
@@ -57,3 +57,61 @@ def test_a_mart_writes_nothing_but_what_it_reads(spark, monkeypatch):
     w.written_mart("mart_cohort_base")
     w.written_mart("mart_cohort_base")
     assert asked == ["mart_cohort_base"]
+
+
+def test_no_whole_row_is_shuffled_to_be_rejected(spark, data, tmp_path):
+    """Rejected rows are met as bitmaps, whatever their number; accepted tables are views over bronze."""
+    edit(data, "customers", 1, segment="Nobody")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    batch = make_batch(spark, data)
+    lake.ingest(batch, validate_sources(batch, "a"), "a")
+    silver = lake.build_silver("a")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for model in conform.CHILDREN:
+            plan = lake.conformed(model, "a", silver)._jdf.queryExecution().sparkPlan().toString()
+            assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not lake.exists(lake.path("silver", "int_order_items"))
+
+
+def test_returns_meet_few_other_lines(spark):
+    """Lines that did not come back stay out of the shuffle of the lookup."""
+    items = spark.range(5000).selectExpr("concat('L', id) AS line_id", "id AS quantity", "'O1' AS order_id")
+    returns = spark.range(100).selectExpr("concat('L', id * 50) AS line_id", "id * 50 - 1 AS returned_quantity")
+    assert bitmaps.maybe_in(items, "line_id", returns).count() < 1000
+    assert _plan(quality.returns_above_ordered(returns, items)).count("_bits") > 0
+    assert signals.partial_returns(returns, items).first().partial_returns == 100
+
+
+def test_amounts_are_summed_in_cents(spark):
+    df = spark.createDataFrame([("a", "0.10"), ("a", "9999999999999999.89"), ("b", "-0.05"), ("c", None)], "k string, m string")
+    summed = df.selectExpr("k", "CAST(m AS DECIMAL(18,2)) AS m").groupBy("k").agg(marts.total("m"))
+    assert {r.k: r.m and str(r.m) for r in summed.collect()} == {"a": "9999999999999999.99", "b": "-0.05", "c": None}
+    assert summed.schema["m"].dataType.simpleString() == "decimal(18,2)"
+    assert "decimal(28,2)" not in _plan(summed) and "sum(m" not in _plan(summed)
+
+
+def test_facts_are_written_without_amounts_that_follow(spark, data, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    batch = make_batch(spark, data)
+    lake.ingest(batch, validate_sources(batch, "a"), "a")
+    facts = lake.build_facts("a", lake.build_silver("a"))
+    assert "net_sales" in facts["fact_sales"].columns and "net_sales" not in lake.table("gold", "fact_sales", "a").columns
+    assert "profit_impact" in facts["fact_returns"].columns and "profit_impact" not in lake.table("gold", "fact_returns", "a").columns
+
+
+def test_orphans_are_found_by_different_keys(spark, data):
+    """A key of many rows is looked up once, and each of its rows is found."""
+    for n in range(3):
+        data["order_items"].append((f"X{n}", "nowhere", *data["order_items"][0][2:]))
+    batch = make_batch(spark, data)
+    fk = next(k for k in contracts.FOREIGN_KEYS if k.name == "order_id_foreign_key")
+    found = contracts.foreign_key_findings(batch, fk)
+    rows = len(data["order_items"])
+    assert sorted(r.source_row for r in found.collect()) == [rows - 3, rows - 2, rows - 1]
+
+
+def test_hashes_grow_with_the_rows():
+    assert [contracts._hash_bits(n) for n in (0, 10**6, 2 * 10**8, 10**10, 10**13)] == [40, 40, 40, 52, 64]
