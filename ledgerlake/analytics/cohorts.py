@@ -13,7 +13,7 @@ MATRIX_AGES = 25
 
 
 def retention(purchases: DataFrame) -> DataFrame:
-    """Long form of ``mart_cohort_base``: every cohort at every age that has happened.
+    """Long form of ``mart_cohort_base``, or of its ``purchase_months``: every cohort at every age that has happened.
 
     A month of a cohort without purchases is a row with 0; months after the last month of the table have no row. At age 0 the whole
     cohort is active, so retention starts at 1. Fully returned orders are not in the mart, and play no part.

@@ -4,6 +4,7 @@ import pytest
 from conftest import edit, make_batch
 from pyspark.sql import functions as F
 
+from ledgerlake.analytics import cohorts
 from ledgerlake.operators import bitmaps, contracts, quality, signals
 from ledgerlake.operators.contracts import validate_sources
 from ledgerlake.plans import conform, marts
@@ -115,3 +116,26 @@ def test_orphans_are_found_by_different_keys(spark, data):
 
 def test_hashes_grow_with_the_rows():
     assert [contracts._hash_bits(n) for n in (0, 10**6, 2 * 10**8, 10**10, 10**13)] == [40, 40, 40, 52, 64]
+
+
+def _bench(spark, data, folder):
+    """A workbench over literal rows, loaded, with no fact written."""
+    w = Workbench(spark, "", str(folder / "w"))
+    w.batch = make_batch(spark, data)
+    w.load = w.lake.ingest(w.batch, validate_sources(w.batch, "a"), "a")
+    return w
+
+
+def _steps(df):
+    return [line for line in _plan(df).splitlines() if "Relation [" not in line]
+
+
+def test_retention_reads_no_amounts(spark, data, tmp_path):
+    """Retention counts customers by month: no fact, order total or mart is written for it, and no line key or amount of a sale is read."""
+    w = _bench(spark, data, tmp_path)
+    months = w.purchase_months()
+    assert not {"gold", "outcomes"} & set(w.__dict__) and not w._marts and not w.lake.exists(w.lake.path("gold", "fact_sales", "a"))
+    assert len(_steps(months)) > 5 and not any("net_sales" in line or "unit_price" in line for line in _steps(months))
+    found = cohorts.retention(months).collect()
+    assert found and sorted(found) == sorted(cohorts.retention(w.mart("mart_cohort_base")).collect())
+    assert "outcomes" in w.__dict__ and sorted(cohorts.retention(w.purchase_months()).collect()) == sorted(found)
