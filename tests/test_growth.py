@@ -139,3 +139,20 @@ def test_retention_reads_no_amounts(spark, data, tmp_path):
     found = cohorts.retention(months).collect()
     assert found and sorted(found) == sorted(cohorts.retention(w.mart("mart_cohort_base")).collect())
     assert "outcomes" in w.__dict__ and sorted(cohorts.retention(w.purchase_months()).collect()) == sorted(found)
+
+
+def test_executive_reads_facts_as_plans(spark, data, tmp_path):
+    """Line and product keys of sales stay behind; lines that did not come back are dropped before the join with orders."""
+    w = _bench(spark, data, tmp_path)
+    mart = w.mart("mart_executive")
+    assert "gold" not in w.__dict__ and not any("product_id" in line for line in _steps(mart))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = w.facts_read()["fact_returns"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lookup = next(depth(line) for line in plan if "Join Inner, (order_id" in line)
+    assert any("Join LeftSemi" in line and depth(line) > lookup for line in plan)
+    (planned,), (written,) = mart.collect(), marts.mart_executive(w.gold["fact_sales"], w.gold["fact_returns"]).collect()
+    assert planned == written and planned.sales_line_count > 0
