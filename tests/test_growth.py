@@ -1,10 +1,13 @@
 """Steps whose shuffles grew faster than the input: what crosses a shuffle, and that results stay."""
 
+from datetime import date
+
 import pytest
 from conftest import edit, make_batch
 from pyspark.sql import functions as F
 
-from ledgerlake.analytics import cohorts
+from ledgerlake import workbench
+from ledgerlake.analytics import churn, cohorts
 from ledgerlake.operators import bitmaps, contracts, quality, signals
 from ledgerlake.operators.contracts import validate_sources
 from ledgerlake.plans import conform, marts
@@ -141,6 +144,19 @@ def test_retention_reads_no_amounts(spark, data, tmp_path):
     assert "outcomes" in w.__dict__ and sorted(cohorts.retention(w.purchase_months()).collect()) == sorted(found)
 
 
+def test_snapshots_write_few_columns(spark, data, tmp_path, monkeypatch):
+    w = _bench(spark, data, tmp_path)
+    cutoffs, written = [date(2025, 1, 31), date(2025, 3, 31)], []
+    w.silver, w._fact_plans
+    monkeypatch.setattr(workbench, "stored", lambda df: written.append(df.columns) or df)
+    monkeypatch.setattr(churn, "quarter_ends", lambda first, last: cutoffs)
+    narrow = w.snapshots.collect()
+    assert written == [list(churn.RETURN_COLUMNS), list(churn.ORDER_COLUMNS)] and not {"gold", "outcomes"} & set(w.__dict__)
+    events = churn.customer_events(w.outcomes, w.gold["fact_returns"])
+    whole = churn.build_customer_snapshots(events, cutoffs, churn.HORIZON_DAYS, w.batch.end_date)
+    assert narrow and sorted(narrow) == sorted(whole.collect())
+
+
 def test_executive_reads_facts_as_plans(spark, data, tmp_path):
     """Line and product keys of sales stay behind; lines that did not come back are dropped before the join with orders."""
     w = _bench(spark, data, tmp_path)
