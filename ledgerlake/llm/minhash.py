@@ -96,7 +96,7 @@ def _half_equal(side: int, agree: Column) -> Column:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """key, i, j (halves of the table), node: for keys of two or more nodes."""
+    """key, i, j (halves of the table), node, hub (the key's smallest node): for keys of two or more nodes."""
     halves = []
     for side in range(2):
         for i in range(HALVES):
@@ -110,8 +110,8 @@ def buckets(nodes: DataFrame) -> DataFrame:
     )
     pairs = sides.select("node", F.explode("side0").alias("x"), "side1").select("node", "x", F.explode("side1").alias("y"))
     keyed = written(pairs.select(F.xxhash64("x.half", "y.half").alias("key"), F.col("x.i").alias("i"), F.col("y.i").alias("j"), "node"))
-    several = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    return written(keyed.join(several, "key", "left_semi"))
+    several = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub"))
+    return written(keyed.join(several, "key"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -140,37 +140,36 @@ def _common(pair: np.ndarray, names: np.ndarray) -> np.ndarray:
     return p[1:][(p[1:] == p[:-1]) & (v[1:] == v[:-1])]
 
 
-def _contested(tables: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of buckets that hold nodes of more than one component, with the component as ``label``."""
+def _contested(tables: DataFrame, roots: DataFrame, **about: Column) -> DataFrame:
+    """Rows of buckets that hold nodes of more than one component, with the component as ``label``, and what is asked about each bucket."""
     labelled = written(tables.join(roots, "node", "left").select("key", "i", "j", "node", F.coalesce("root", "node").alias("label")))
-    several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return written(labelled.join(written(several), "key", "left_semi"))
+    asked = [c.alias(name) for name, c in about.items()]
+    several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), *asked).where("low < high")
+    return labelled.join(written(several.drop("low", "high")), "key")
 
 
 def _links(nodes: DataFrame, texts: DataFrame, tables: DataFrame) -> DataFrame:
-    """Node and root of each component, from links that are confirmed on full sets."""
-    hubs = written(tables.groupBy("key").agg(F.min("node").alias("a")))
-    stars = tables.join(hubs, "key").where("node > a").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
+    """Node and root of each component, from links that are confirmed on full sets. What is known of components goes on as their stars."""
+    stars = tables.where("node > hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a"))
     tried = written(stars.select("a", "b"))
-    links = verified(tried, texts)
-    roots = components(links)
+    roots = components(verified(tried, texts))
     sketch = nodes.select("node", "n_shingles", "minima")
     for turn in range(STAR_ROUNDS):
-        open_rows = _contested(tables, roots)
-        hubs = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), F.col("node"), F.col("label"))).alias("hub"))
-        met = open_rows.join(written(hubs), "key").where(F.col("label") != F.col("hub.label"))
+        hub = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), F.col("node"), F.col("label")))
+        met = _contested(tables, roots, hub=hub).where(F.col("label") != F.col("hub.label"))
         pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), "node").distinct()
         rated = _rated(pairs.join(tried, ["a", "b"], "left_anti"), sketch)
         best = rated.groupBy("node").agg(F.max(F.struct("agreed", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
         best = written(best)
-        links, tried = links.union(verified(best, texts)), tried.union(best)
-        roots = components(links)
-    open_rows = _contested(tables, roots)
-    sizes = written(open_rows.groupBy("key").agg(F.count("*").alias("n")))
-    few = open_rows.join(sizes.where(F.col("n") <= FEW).select("key"), "key", "left_semi")
-    many = open_rows.join(sizes.where(F.col("n") > FEW).select("key"), "key", "left_semi").select("key", "node", "label")
+        roots, tried = components(_stars(roots).union(verified(best, texts))), tried.union(best)
+    open_rows = written(_contested(tables, roots, n=F.count("*")))
+    few, many = open_rows.where(F.col("n") <= FEW).drop("n"), open_rows.where(F.col("n") > FEW).select("key", "node", "label")
     rest = written(_single_pairs(few, sketch).join(tried, ["a", "b"], "left_anti"))
-    return components(links.union(verified(rest, texts)).union(_block_links(written(many), texts)))
+    return components(_stars(roots).union(verified(rest, texts)).union(_block_links(many, texts)))
+
+
+def _stars(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
 
 
 def _block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:

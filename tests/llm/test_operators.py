@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ledgerlake.llm import components as components_module
 from ledgerlake.llm import bloom, decontaminate, langid, licenses, lines, minhash, mixing, quality, queries, substrings, tokens, urls
 from ledgerlake.llm.components import components
 from ledgerlake.llm.license_texts import TEMPLATES
@@ -183,6 +184,32 @@ def test_components(spark):
     assert found == {x: find(x) for x in root if find(x) != x}
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_components_write_little(spark, monkeypatch, broadcast):
+    """Finished stars take no round; a round over few nodes writes its edges and the smallest neighbours."""
+    made = []
+    monkeypatch.setattr(components_module, "BROADCAST_NODES", broadcast)
+    monkeypatch.setattr(components_module, "written", lambda df: made.append(df) or written(df))
+    stars = [(1, 5), (1, 7), (7, 1), (2, 3), (4, 4)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(stars, "a bigint, b bigint")).collect()}
+    assert found == {5: 1, 7: 1, 3: 2} and len(made) == 2
+    made.clear()
+    found = {r.node: r.root for r in components(spark.createDataFrame([*stars, (5, 3)], "a bigint, b bigint")).collect()}
+    assert found == {5: 1, 7: 1, 3: 1, 2: 1}
+    rounds = (len(made) - 2) / (2 if broadcast else 4)
+    assert rounds in (1, 2, 3)
+
+
+def test_few_steps_for_near_duplicates(spark, monkeypatch):
+    """What is known of a bucket is asked with the bucket, and known components are not sought again."""
+    made = []
+    for module in (minhash, components_module):
+        monkeypatch.setattr(module, "written", lambda df: made.append(df) or written(df))
+    docs = spark.createDataFrame(partly_linked_copies(40), "doc_id bigint, text string")
+    minhash.near_duplicates(docs).collect()
+    assert len(made) <= 45
+
+
 def test_filters_never_miss():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 5000).astype(np.uint64)
