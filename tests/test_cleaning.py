@@ -11,7 +11,7 @@ from ledgerlake.functions.exprs import number_or_null, strip, timestamp_or_null,
 from ledgerlake.operators import cleaning, kpi, profile, slices
 from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, in_slices, lookup_where, value_counts
 from ledgerlake.plans.sheet import run_sheet_pipeline
-from ledgerlake.schemas import FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, with_source_row
+from ledgerlake.schemas import FLAT_COLUMNS, FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, SOURCE_ROW, with_source_row
 
 D = Decimal
 SCHEMA = with_source_row(FLAT_SCHEMA)
@@ -363,3 +363,23 @@ def test_prices_and_rates_keep_their_digits(spark):
 
 def test_vocabularies():
     assert len(PRODUCT_CATEGORIES) == 12 and len(PAYMENT_METHODS) == 4
+
+
+def _shuffled(df):
+    """The lines of a plan that send rows from task to task."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_lines_that_stand_alone_are_not_shuffled(spark):
+    """Only lines whose hash repeats, and the few that a filter takes for such, are grouped whole; NULLs are equal."""
+    plain = lambda i: (f"L{i}", f"O{i // 4}", "2025-01-02", "C1", "Mouse", None, "Austin", "1", 9.5, 0.0, None if i % 2 else "Cash")
+    rows = [plain(i) for i in range(2000)] + [plain(7), plain(8), plain(7)]
+    raw = table_of(spark, [(*row, i) for i, row in enumerate(rows)], SCHEMA)
+    found = cleaning.drop_exact_duplicates(raw)
+    assert found.columns == [*FLAT_COLUMNS, SOURCE_ROW, "_copies"]
+    copies = {r[SOURCE_ROW]: r["_copies"] for r in found.collect()}
+    assert copies == {i: {7: 3, 8: 2}.get(i, 1) for i in range(2000)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.count("Join LeftSemi") == plan.count("Join LeftAnti") == 1
+    merged = raw.groupBy(*FLAT_COLUMNS).agg(F.min(SOURCE_ROW).alias(SOURCE_ROW), F.count("*").alias("_copies"))
+    assert found.exceptAll(merged).count() == merged.exceptAll(found).count() == 0
