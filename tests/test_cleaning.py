@@ -8,7 +8,7 @@ from conftest import as_dicts, table_of
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.exprs import number_or_null, strip, timestamp_or_null, title_case
-from ledgerlake.operators import cleaning, kpi, profile, slices
+from ledgerlake.operators import cleaning, groups, kpi, profile, slices
 from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, in_slices, lookup_where, value_counts
 from ledgerlake.plans.sheet import run_sheet_pipeline
 from ledgerlake.schemas import FLAT_COLUMNS, FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, SOURCE_ROW, with_source_row
@@ -383,3 +383,25 @@ def test_lines_that_stand_alone_are_not_shuffled(spark):
     assert plan.count("Aggregate [") == 1 and plan.count("Join LeftSemi") == plan.count("Join LeftAnti") == 1
     merged = raw.groupBy(*FLAT_COLUMNS).agg(F.min(SOURCE_ROW).alias(SOURCE_ROW), F.count("*").alias("_copies"))
     assert found.exceptAll(merged).count() == merged.exceptAll(found).count() == 0
+
+
+def test_groups_without_gaps_are_not_shuffled(spark):
+    """Rows of other groups than those in which a row lacks something meet a filter of keys before any shuffle."""
+    rows = [(f"k{i // 4}" if i % 50 else None, i, None if i in (7, 2001) else "x") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, i long, v string")
+    result = fill_from_group(df, "k", "i", {"v": F.col("v")}, hot_groups(df, "k", "i", 1000))
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bits" in plan.split("Window", 1)[1] and "Aggregate" not in plan
+    assert sorted((tuple(r) for r in result.select("k", "i", "v").collect() if r.k), key=repr) == [r for r in neighbours(rows) if r[0]]
+
+
+def test_groups_are_counted_by_bucket_first(spark):
+    """Two groups of one bucket that are hot only together are none of them hot; a NULL group never is."""
+    rows = [(k, i) for k in ("a", "b") for i in range(30)] + [("c", i) for i in range(50)] + [(None, i) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, i long")
+    for buckets in (1, groups.HOT_BUCKETS):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(groups, "HOT_BUCKETS", buckets)
+            assert [(r.k, r.slice_rows) for r in hot_groups(df, "k", "i", 40).collect()] == [("c", 40)]
+    sizes = [line for line in _shuffled(hot_groups(df, "k", "i", 40)) if "(k#" in line]
+    assert len(sizes) == 1 and "_bucket" in hot_groups(df, "k", "i", 40)._jdf.queryExecution().optimizedPlan().toString()
