@@ -12,6 +12,7 @@ from ledgerlake.operators import cleaning, groups, kpi, profile, slices
 from ledgerlake.operators.groups import attach_group_value, exact_median, fill_from_group, hot_groups, in_slices, lookup_where, value_counts
 from ledgerlake.plans.sheet import run_sheet_pipeline
 from ledgerlake.schemas import FLAT_COLUMNS, FLAT_SCHEMA, PAYMENT_METHODS, PRODUCT_CATEGORIES, SOURCE_ROW, with_source_row
+from ledgerlake.workbench import Workbench
 
 D = Decimal
 SCHEMA = with_source_row(FLAT_SCHEMA)
@@ -405,3 +406,14 @@ def test_groups_are_counted_by_bucket_first(spark):
             assert [(r.k, r.slice_rows) for r in hot_groups(df, "k", "i", 40).collect()] == [("c", 40)]
     sizes = [line for line in _shuffled(hot_groups(df, "k", "i", 40)) if "(k#" in line]
     assert len(sizes) == 1 and "_bucket" in hot_groups(df, "k", "i", 40)._jdf.queryExecution().optimizedPlan().toString()
+
+
+
+def test_the_cleaned_sheet_is_read_as_a_plan(spark, tmp_path):
+    """One reader of the cleaned rows needs no written table of judged ones; where there is one, it is read."""
+    w = Workbench(spark, "", str(tmp_path))
+    w.sheet, w.rules = sheet(spark), cleaning.CleaningRules()
+    planned = sorted(map(repr, w.cleaned_read().collect()))
+    assert "judged" not in w.__dict__ and not (tmp_path / "sheet" / "judged").exists()
+    assert planned and planned == sorted(map(repr, w.cleaned.collect()))
+    assert planned == sorted(map(repr, w.cleaned_read().collect())) and "judged" in w.__dict__
