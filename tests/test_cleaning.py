@@ -408,6 +408,20 @@ def test_groups_are_counted_by_bucket_first(spark):
     assert len(sizes) == 1 and "_bucket" in hot_groups(df, "k", "i", 40)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_grouped_tables_shuffle_no_amounts_by_order(spark):
+    """Orders are counted apart from sums; NULL groups and NULL orders are counted as by COUNT(DISTINCT)."""
+    rows = [("a", "O1", 1, "1.10"), ("a", "O1", 2, "2.20"), ("a", None, 3, "0.05"), (None, "O1", 4, "4.00"), (None, "O2", None, None), ("b", None, 1, "1.00")]
+    money = ("Gross_Sales_USD", "Discount_Amount_USD", "Net_Revenue_USD")
+    lines = spark.createDataFrame(rows, "City string, Order_ID string, Quantity long, m string").selectExpr(
+        "City", "Order_ID", "Quantity", *[f"CAST(m AS DECIMAL(18,2)) AS {c}" for c in money]
+    )
+    table = kpi.build_grouped_analysis(lines, ("City",))
+    found = {r.City: (r.Units_Sold, r.Orders, str(r.Net_Revenue_USD), str(r.Average_Order_Value_USD)) for r in table.collect()}
+    assert found == {"a": (6, 1, "3.35", "3.35"), None: (4, 2, "4.00", "2.00"), "b": (1, 0, "1.00", "None")}
+    plan = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    by_order = [line for line in plan if "Aggregate [" in line and "Order_ID" in line.split("], [")[0]]
+    assert by_order and not any("Net_Revenue_USD" in line for line in by_order)
+
 
 def test_the_cleaned_sheet_is_read_as_a_plan(spark, tmp_path):
     """One reader of the cleaned rows needs no written table of judged ones; where there is one, it is read."""
