@@ -6,7 +6,7 @@ import pytest
 from conftest import edit, make_batch
 from pyspark.sql import functions as F
 
-from ledgerlake import workbench
+from ledgerlake import session, workbench
 from ledgerlake.analytics import churn, cohorts
 from ledgerlake.operators import bitmaps, contracts, quality, signals
 from ledgerlake.operators.contracts import validate_sources
@@ -172,3 +172,54 @@ def test_executive_reads_facts_as_plans(spark, data, tmp_path):
     assert any("Join LeftSemi" in line and depth(line) > lookup for line in plan)
     (planned,), (written,) = mart.collect(), marts.mart_executive(w.gold["fact_sales"], w.gold["fact_returns"]).collect()
     assert planned == written and planned.sales_line_count > 0
+
+
+def _hint(df):
+    return "strategy=merge" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_tables_of_many_rows_are_not_broadcast(spark, data, tmp_path, monkeypatch):
+    """Files of keys are far smaller than their rows in memory: the number of rows decides, wherever parents are looked up."""
+    keys = spark.range(30).selectExpr("concat('C', id) AS customer_id")
+    assert not _hint(session.sized(keys))
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    assert _hint(session.sized(keys)) and not _hint(session.sized(keys.limit(1)))
+    w = _bench(spark, data, tmp_path)
+    s = w.silver
+    parents = (s["orders"], s["customers"], s["products"])
+    tests = [t for t in quality.declared_tests(w.batch.vocabulary) if t.test == "relationships" and t.model == "int_order_items"]
+    facts = w._fact_plans
+    asked = {
+        "items": quality.items_without_parents(w.staged("order_items"), *parents),
+        "tests": quality.test_relationships(w.models(), tests),
+        "sales": facts["fact_sales"],
+        "basket": w.mart("mart_basket_base"),
+        "weeks": marts.category_weeks_of_sales(facts["fact_sales"], facts["dim_date"], s["products"]),
+    }
+    looked_up = {"items": 5, "tests": 2, "sales": 1, "basket": 1, "weeks": 1}
+    for name, df in asked.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("rightHint=(strategy=merge)") >= looked_up[name], name
+    rows = {name: sorted(map(repr, df.collect())) for name, df in asked.items()}
+    monkeypatch.undo()
+    again = quality.items_without_parents(w.staged("order_items"), *parents)
+    assert rows["items"] == sorted(map(repr, again.collect())) and rows["sales"] == sorted(map(repr, w.gold["fact_sales"].collect()))
+    assert rows["basket"] == sorted(map(repr, w.mart("mart_basket_base").collect()))
+
+
+def test_a_test_builds_the_models_it_tests(spark, data, tmp_path):
+    """Relationships are declared on silver tables, dimensions and facts: no mart is built for them."""
+    w = _bench(spark, data, tmp_path)
+    models = w.models()
+    found = quality.test_relationships(models, quality.declared_tests(w.batch.vocabulary)).collect()
+    assert len(found) == 22 and sum(r.violations for r in found) == 0
+    assert not w._marts and "outcomes" not in w.__dict__ and "written_rejected" not in w.__dict__
+    assert len(models) == len(set(models)) == 29 and models["mart_executive"].count() == 1 and list(w._marts) == ["mart_executive"]
+
+
+def test_marts_of_products_read_facts_as_plans(spark, data, tmp_path):
+    w = _bench(spark, data, tmp_path)
+    planned = {name: sorted(map(repr, w.mart(name).collect())) for name in ("mart_basket_base", "mart_forecasting_base")}
+    assert "gold" not in w.__dict__
+    w.gold
+    assert all(rows and rows == sorted(map(repr, w.mart(name).collect())) for name, rows in planned.items())
